@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from erario.llm import leaks, subjects, tokens
+from erario.llm import increments, leaks, names, subjects, tokens
 from erario.tables import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(linha_id): rows of empenhos that are the same commitment as an earlier row."""
+    return increments.repeated(table(spark, sf_dir, "empenhos"), table(spark, sf_dir, "bronze_ingestao"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(cnpj_cpf_a, cnpj_cpf_b): pairs of creditors that are one entity."""
+    return names.pairs(table(spark, sf_dir, "dim_credor"))
+
+
+def p5_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(cnpj_cpf, entidade, formas): the entity of each creditor."""
+    return names.entities(table(spark, sf_dir, "dim_credor"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ids): token ids of every document."""
     return tokens.encode(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -47,7 +61,7 @@ def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p7_ids": p7_ids, "p7_counts": p7_counts, "p8_found": p8_found, "p8_items": p8_items,
+    "p1_found": p1_found, "p5_found": p5_found, "p5_entities": p5_entities, "p7_ids": p7_ids, "p7_counts": p7_counts, "p8_found": p8_found, "p8_items": p8_items,
     "p9_found": p9_found, "p9_composition": p9_composition,
 }
 SQL: dict[str, str] = {}
