@@ -109,13 +109,13 @@ def size_of(df: DataFrame, cols: Sequence[str]) -> Column:
 
 
 def manifest(df: DataFrame, day: Column, file: str, cols: Sequence[str]) -> DataFrame:
-    """The frozen list of files: (dia, file, bytes, rows, checksum), one row for each file and day it holds.
+    """The frozen list of files: (dia, arquivo, bytes, rows, checksum), one row for each file and day it holds.
 
     The checksum is the sum over the rows of a 62-bit hash of their columns, so it doesn't depend on the rows' order but
     does on how often each comes. Rows without a day go to a day null, rows without a file to the file null.
     """
     h = F.shiftright(F.xxhash64(*[x for c in cols for x in (F.col(c), F.isnull(F.col(c)))]), 2).cast("decimal(38,0)")
-    return df.groupBy(day.alias("dia"), F.col(file)).agg(F.sum(size_of(df, cols)).alias("bytes"), F.count("*").alias("rows"), F.sum(h).alias("checksum"))
+    return df.groupBy(day.alias("dia"), F.col(file).alias("arquivo")).agg(F.sum(size_of(df, cols)).alias("bytes"), F.count("*").alias("rows"), F.sum(h).alias("checksum"))
 
 
 def bins(files: DataFrame, file: str, target: int = TARGET_BYTES, classes: int = CLASSES) -> DataFrame:
@@ -204,7 +204,7 @@ def compact(df: DataFrame, day: Column, file: str, record: str, same: Sequence[s
     listed = manifest(df, day, file, cols)
     listed.write.parquet(f"{stage}/manifest")
     frozen = spark.read.schema(listed.schema).parquet(f"{stage}/manifest")
-    placed = bins(frozen, file, target).select("dia", F.col(file).alias("__f"), "bin")
+    placed = bins(frozen, "arquivo", target).select("dia", F.col("arquivo").alias("__f"), "bin")
     keyed = df.withColumn("dia", day)
     spread = keyed.join(placed.withColumnRenamed("dia", "__d"), keyed["dia"].eqNullSafe(F.col("__d")) & keyed[file].eqNullSafe(F.col("__f")), "left").drop("__d", "__f")
     kept = spread.join(gone.select(F.col(record).alias("__gone")).distinct(), F.col(record) == F.col("__gone"), "left_anti")

@@ -15,7 +15,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from erario.functions.keys import key_number
 from erario.operators.ranges import last_before
 from erario.session import shuffle_width
 
@@ -81,7 +80,7 @@ def orphans(references: DataFrame, parents: DataFrame) -> DataFrame:
     Each distinct (grupo, chave, em) is decided once and joined back, so repeated references cost little.
     """
     ok = "grupo is not null and chave is not null and numero is not null"
-    refs = references.filter(ok)
+    refs = references.drop("motivo").filter(ok)
     # a reference without a time looks at the end of time
     when = F.coalesce(micros(F.col("em")), F.lit(_FOREVER))
     asked = refs.select("grupo", "chave", "numero", when.alias("quando")).distinct()
@@ -93,9 +92,10 @@ def orphans(references: DataFrame, parents: DataFrame) -> DataFrame:
         .unionByName(asked.select("grupo", "numero", "chave", "quando", F.lit(2).alias("tipo"), none.alias("fim"), none.alias("ate")))
     )
     walked = last_before(line, ["grupo", "numero", "chave"], ["quando", "tipo"], {"fim": (1, "last"), "ate": (3, "max")})
-    missing = F.col("fim").isNull() | (F.col("numero") > F.col("fim")) | F.col("ate").isNull() & ~F.col("__known")
+    missing = F.col("fim").isNull() | (F.col("numero") > F.col("fim")) | ~F.col("__known")
     known = spans.select("grupo", "chave").distinct().withColumn("__known", F.lit(True))
     lost = walked.filter("tipo = 2").filter(F.col("fim").isNull() | (F.col("numero") > F.col("fim")) | F.col("ate").isNull() | (F.col("ate") <= F.col("quando")))
     why = lost.join(known, ["grupo", "chave"], "left").withColumn("__known", F.coalesce("__known", F.lit(False)))
     why = why.select("grupo", "chave", "quando", F.when(missing, "inexistente").otherwise("fora_do_prazo").alias("motivo"))
-    return refs.withColumn("quando", when).join(why, ["grupo", "chave", "quando"]).drop("quando")
+    why = why.withColumnRenamed("quando", "__quando")
+    return refs.withColumn("__quando", when).join(why, ["grupo", "chave", "__quando"]).drop("__quando")

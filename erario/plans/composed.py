@@ -398,3 +398,33 @@ def jn07_star(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return rel.lookup(o, n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("r_name", "n_name").agg(F.sum(F.col("o_totalprice").cast("decimal(15,2)")).cast("decimal(18,2)").alias("total"), F.count("*").alias("pedidos"))
+
+
+# OP-IFOREST, FN-10, AG-12 (rows only: random trees can't be told in SQL)
+@query()
+def op_iforest(spark: SparkSession, d: str) -> DataFrame:
+    from erario.ml import anomaly
+
+    f = op_features(spark, d).withColumn("chave", F.concat_ws("/", "id_contrato_origem", F.col("ano").cast("string")))
+    cols = ["valor", "emergencia", "status_VIGENTE", "status_ENCERRADO", "status_RESCINDIDO"]
+    forest = anomaly.train(f, "chave", cols)
+    return anomaly.scored(f, cols, forest, 0.05).select("id_contrato_origem", "ano", "score_anomalia", "flag_anomalia")
+
+
+# OP-QREG, OP-FCST (rows only)
+@query()
+def op_forecast(spark: SparkSession, d: str) -> DataFrame:
+    from erario.ml import forecast
+
+    return forecast.forecasts(spark, op_panel(spark, d), forecast.GRID[0])
+
+
+# OP-GATES, OP-TUNE as metrics (rows only)
+@query()
+def op_gates(spark: SparkSession, d: str) -> DataFrame:
+    from erario.ml import forecast
+
+    p = op_panel(spark, d)
+    q = forecast.quality(forecast.forecasts(spark, p, forecast.GRID[0]))
+    lag4 = p.agg(F.avg(F.col("lag_4").isNotNull().cast("int")).alias("x")).first()["x"] or 0.0
+    return forecast.run_metrics(spark, "backtest", q | {"lag4": lag4, "alertas": len(forecast.alerts(q, lag4))})
