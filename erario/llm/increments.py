@@ -29,7 +29,7 @@ from erario.session import written
 #: Rows that a shard holds on average, batches that a whole history is cut into, words kept of the sorted texts (bytes).
 SHARD_ROWS, BATCHES, WIDE = 40_000, 16, 40
 #: Letters of a record that an older one must cover for a closer look, and the share that must agree then.
-COVERAGE, ALIKE = 0.2, 0.62
+COVERAGE, ALIKE = 0.2, 0.58
 #: Letters with accents and their plain forms.
 _ACCENTS = "áàâãäåéèêëíìîïóòôõöúùûüçñ", "aaaaaaeeeeiiiiooooouuuucn"
 
@@ -152,6 +152,7 @@ def prepared(rows: DataFrame, loads: DataFrame) -> DataFrame:
     ``ano:id`` or null where the id was lost. chave: digest of the fields that must be equal, null unless all of them
     and valor are known; the numbers of the description are part of it.
     """
+    rows = rows.select("linha_id", "carga_id", "id", "ano", "dataemissao", "codigoug", "codigocredor", "codprocesso", "valor", "historico")
     days = loads.filter("carga_id is not null").groupBy("carga_id").agg(F.min(day_of(F.col("data_extracao"))).alias("__dia"))
     sizes = rows.groupBy("carga_id").agg(F.count("*").alias("__n")).join(days, "carga_id", "left")
     with_day = matching_groups(rows.filter("carga_id is not null"), sizes.filter("carga_id is not null"), ["carga_id"], "__n")
