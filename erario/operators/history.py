@@ -64,7 +64,8 @@ def creditor_versions(dim: DataFrame, snapshots: DataFrame) -> DataFrame:
     first snapshot is compared with, and stays as it is unless a snapshot changes it. A creditor unknown to ``dim`` gets
     a first version from its first snapshot. Within a creditor and date the row loaded last counts. Letter case and outer
     blanks of nome don't count; null is a value; a creditor missing from a snapshot stays open. Rows without any digit
-    in cnpj_cpf have no entity and are left out. New versions get sk_credor as md5 of cnpj_cpf and valido_de. Empty
+    in cnpj_cpf have no entity and are left out. New versions carry nome in upper case without outer blanks and get
+    sk_credor as md5 of cnpj_cpf and valido_de. Empty
     inputs give what the other one has.
     """
     d = dim.select("sk_credor", digits(F.col("cnpj_cpf")).alias("cnpj_cpf"), "nome", "tipo", "historico_infringement", "valido_de", "valido_ate", "versao_atual", "carregado_em").filter("cnpj_cpf is not null")
