@@ -256,7 +256,7 @@ def repeated(rows: DataFrame, loads: DataFrame, shard_rows: int = SHARD_ROWS, ba
     Order: day of the load, carga_id, linha_id. The same commitment: equal ano and id (as whole number); or equal
     codigoug, codigocredor, codprocesso (all known), day and valor (known, up to a cent), with a description that was
     only typed otherwise and holds the same numbers. The history is taken batch by batch (runs of whole loads); each
-    batch is sought in the segments of those before it. Rows with a null linha_id are left out; of rows that share a
+    batch is sought in the segments of those before it. Two missing descriptions agree. Rows with a null linha_id are left out; of rows that share a
     linha_id within a load none is later. Empty tables give no rows.
     """
     p = written(prepared(rows.filter("linha_id is not null"), loads), "increments")

@@ -213,7 +213,9 @@ def prepare(texts: dict[int, tuple[str, str]], common: frozenset[str]) -> list[I
                 sents.append(t)
                 of.append(num)
         used = {x for t in sents for x in t}
-        names = {x for x in used if not x.isdigit() and x not in common and len(x) > 4 and uses[x] <= max(2, 0.03 * len(texts))}
+        # names are written with a capital wherever they stand; a text in one case only can't tell
+        low = {x for w in _WORD.findall(texts[k][0]) if w[:1].islower() for x in tokens(w)}
+        names = {x for x in used if not x.isdigit() and x not in common and x not in low and len(x) > 4 and uses[x] <= max(2, 0.03 * len(texts))}
         out.append(Item(k, sents, of, frozenset(names | {x for x in used if x.isdigit()}), frozenset(names)))
     return out
 

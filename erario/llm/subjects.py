@@ -26,13 +26,13 @@ from erario.llm.text import plain, sentences
 #: Labelled documents that the tree is learnt from, at most (chosen by a hash of their id).
 SAMPLE_DOCS = 8_000
 #: Leaves of the tree at most, sentences in a leaf at least, and the mean cosine at which a cluster isn't split further.
-LEAVES, LEAST, TIGHT = 800, 12, 0.93
+LEAVES, LEAST, TIGHT = 1200, 6, 0.96
 #: Share of a leaf's documents that carry an area, from which the leaf stands for it, and how often the usual share that must be.
 SHARE, LIFT = 0.55, 1.8
 #: Least length of a sentence's weighted vector, and least cosine to its leaf; below, a sentence has no subject.
-LEAST_NORM, LEAST_COSINE = 0.5, 0.3
+LEAST_NORM, LEAST_COSINE = 0.8, 0.3
 #: Sentences in which a term of the vocabulary occurs, at least, and its least weight.
-TERM_COUNT, TERM_WEIGHT = 4, 0.35
+TERM_COUNT, TERM_WEIGHT = 4, 0.6
 
 _WORD = re.compile(r"[a-z]{2,}")
 
@@ -112,7 +112,7 @@ def fit(texts: list[str], labels: list[list[int]], areas: list[str], seed: int =
         e = np.exp(np.clip(score, -30, 30)) * allowed
         part = e / (1.0 + e.sum(1, keepdims=True))  # the 1 stands for no area at all
     rate = (by_term(part) + 2 * base) / (n[:, None] + 2)
-    gain = np.maximum(rate.max(1) - 2 * base[rate.argmax(1)], 0) if v else np.zeros(0)  # how far one area stands out
+    gain = np.maximum((rate.max(1) - base[rate.argmax(1)]) / (1 - np.minimum(base[rate.argmax(1)], 0.99)), 0) if v else np.zeros(0)  # how far one area stands out
     keep = np.flatnonzero(gain > TERM_WEIGHT)
     renumber = np.full(v, -1)
     renumber[keep] = np.arange(len(keep))
@@ -200,7 +200,7 @@ def fit(texts: list[str], labels: list[list[int]], areas: list[str], seed: int =
             top = int(mixture[node].argmax())
             if mixture[node][top] >= max(SHARE, LIFT * usual[top]):
                 area[node] = top
-    return Tree({t: i for i, t in enumerate(names)}, weight.astype("float32"), np.array(children), np.array(centroid, dtype="float32").reshape(len(children), vn), mixture, area, areas)
+    return Tree({t: i for i, t in enumerate(names)}, weight.astype("float32"), np.array(children), np.array(centroid, dtype="float16").reshape(len(children), vn), mixture, area, areas)
 
 
 def assign(tree: Tree, texts: list[str | None]) -> list[list[str]]:
