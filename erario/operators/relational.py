@@ -101,14 +101,31 @@ def asof_version(facts: DataFrame, key: str, day: str, versions: DataFrame, vers
 def overlap_sum(periods: DataFrame, keys: Sequence[str], first: str, last: str, spans: DataFrame, start: str, end: str, value: str, out: str) -> DataFrame:
     """``periods`` with the sum of ``value`` over the spans of their keys that touch [first, last]; 0.0 where none does.
 
-    Null bounds of a span are open; both bounds are inclusive. Spans are first added up by key and pair of bounds, so
-    equal spans cost one row; periods are few for each key.
+    Null bounds of a span are open; both bounds are inclusive. What touches a period is what starts up to its last day
+    less what ends before its first one. Starts and ends are added up by key and day, then run along the days, so a key
+    with most spans costs a row a day and no span meets a period. Spans that end before they start touch a period only if
+    it holds both days; those few are matched one by one.
     """
-    s = spans.groupBy(*keys, F.col(start).alias("__s"), F.col(end).alias("__e")).agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("__x"))
+    s = spans.select(*keys, F.coalesce(F.col(start), F.lit("0001-01-01").cast("date")).alias("__s"), F.col(end).alias("__e"), F.col(value).cast("decimal(18,2)").alias("__x"))
+    straight = s.filter(F.col("__e").isNull() | (F.col("__s") <= F.col("__e")))
     p = periods.select(*keys, first, last).distinct()
-    on = [p[k] == s[k] for k in keys] + [(s["__s"].isNull() | (s["__s"] <= p[last])) & (s["__e"].isNull() | (s["__e"] >= p[first]))]
-    sums = p.join(s, on).groupBy(*[p[k] for k in keys], p[first], p[last]).agg(F.sum("__x").cast("double").alias(out))
-    return periods.join(sums, [*keys, first, last], "left").withColumn(out, F.coalesce(out, F.lit(0.0)))
+    none = F.lit(None).cast("decimal(28,2)")
+    # on one day what starts comes before the periods that end then, and what ends comes after the periods that start then
+    line = (
+        straight.groupBy(*keys, F.col("__s").alias("__d")).agg(F.sum("__x").cast("decimal(28,2)").alias("__in")).select(*keys, "__d", F.lit(1).alias("__k"), "__in", none.alias("__out"), F.lit(None).cast("date").alias("__a"))
+        .unionByName(straight.filter("__e is not null").groupBy(*keys, F.col("__e").alias("__d")).agg(F.sum("__x").cast("decimal(28,2)").alias("__out")).select(*keys, "__d", F.lit(2).alias("__k"), none.alias("__in"), "__out", F.lit(None).cast("date").alias("__a")))
+        .unionByName(p.select(*keys, F.col(last).alias("__d"), F.lit(3).alias("__k"), none.alias("__in"), none.alias("__out"), F.col(first).alias("__a")))
+        .unionByName(p.select(*keys, F.col(first).alias("__d"), F.lit(0).alias("__k"), none.alias("__in"), none.alias("__out"), F.col(first).alias("__a")))
+    )
+    w = Window.partitionBy(*keys).orderBy("__d", "__k").rowsBetween(Window.unboundedPreceding, 0)
+    run = line.select(*keys, "__d", "__k", "__a", F.sum("__in").over(w).alias("__in"), F.sum("__out").over(w).alias("__out"))
+    begun = run.filter("__k = 3").select(*keys, F.col("__a").alias(first), F.col("__d").alias(last), "__in")
+    over = run.filter("__k = 0").select(*keys, F.col("__a").alias(first), "__out").distinct()
+    sums = begun.join(over, [*keys, first]).select(*keys, first, last, (F.coalesce("__in", F.lit(0)) - F.coalesce("__out", F.lit(0))).alias("__sum"))
+    turned = s.filter(F.col("__s") > F.col("__e"))
+    extra = p.join(turned, [*keys]).filter((F.col("__s") <= F.col(last)) & (F.col("__e") >= F.col(first))).groupBy(*keys, first, last).agg(F.sum("__x").alias("__more"))
+    total = sums.join(extra, [*keys, first, last], "left").select(*keys, first, last, (F.col("__sum") + F.coalesce("__more", F.lit(0))).cast("double").alias(out))
+    return periods.join(total, [*keys, first, last], "left").withColumn(out, F.coalesce(out, F.lit(0.0)))
 
 
 def lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str] | Column, rows: int = BROADCAST_ROWS) -> DataFrame:
