@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from erario.operators.ranges import last_before
+from erario.operators.ranges import last_before, matching_groups
 from erario.session import shuffle_width
 
 #: Factor that sets the year ahead of the number in a composite key.
@@ -77,25 +77,25 @@ def orphans(references: DataFrame, parents: DataFrame) -> DataFrame:
     there). A parent stands from ``de`` on, up to but without ``ate``. Rows with a null grupo, chave or numero refer to
     nothing and are left out. A reference without a time has any parent of its key that still stands; a parent without
     ``de`` has always stood. With no parents all references are orphans; with no references the result is empty.
-    Each distinct (grupo, chave, em) is decided once and joined back, so repeated references cost little.
+    Each distinct (grupo, chave, em) is decided once and joined back, heavy ones by broadcast, so repeated
+    references cost little.
     """
     ok = "grupo is not null and chave is not null and numero is not null"
     refs = references.drop("motivo").filter(ok)
     # a reference without a time looks at the end of time
     when = F.coalesce(micros(F.col("em")), F.lit(_FOREVER))
-    asked = refs.select("grupo", "chave", "numero", when.alias("quando")).distinct()
+    asked = refs.groupBy("grupo", "chave", "numero", when.alias("quando")).agg(F.count("*").alias("n"))
     spans = parents.filter(ok).select("grupo", "chave", "numero", F.coalesce(micros(F.col("de")), F.lit(-_FOREVER)).alias("quando"), F.coalesce(micros(F.col("ate")), F.lit(_FOREVER + 1)).alias("ate")).groupBy("grupo", "chave", "numero", "ate").agg(F.min("quando").alias("quando"))
     none = F.lit(None).cast("bigint")
     line = (
-        runs(spans, "grupo", "numero").select("grupo", F.col("inicio").alias("numero"), F.lit("").alias("chave"), F.lit(-_FOREVER - 1).alias("quando"), F.lit(0).alias("tipo"), F.col("fim").alias("fim"), none.alias("ate"))
-        .unionByName(spans.select("grupo", "numero", "chave", "quando", F.lit(1).alias("tipo"), none.alias("fim"), "ate"))
-        .unionByName(asked.select("grupo", "numero", "chave", "quando", F.lit(2).alias("tipo"), none.alias("fim"), none.alias("ate")))
+        runs(spans, "grupo", "numero").select("grupo", F.col("inicio").alias("numero"), F.lit("").alias("chave"), F.lit(-_FOREVER - 1).alias("quando"), F.lit(0).alias("tipo"), F.col("fim").alias("fim"), none.alias("ate"), none.alias("n"))
+        .unionByName(spans.select("grupo", "numero", "chave", "quando", F.lit(1).alias("tipo"), none.alias("fim"), "ate", none.alias("n")))
+        .unionByName(asked.select("grupo", "numero", "chave", "quando", F.lit(2).alias("tipo"), none.alias("fim"), none.alias("ate"), "n"))
     )
     walked = last_before(line, ["grupo", "numero", "chave"], ["quando", "tipo"], {"fim": (1, "last"), "ate": (3, "max")})
     missing = F.col("fim").isNull() | (F.col("numero") > F.col("fim")) | ~F.col("__known")
     known = spans.select("grupo", "chave").distinct().withColumn("__known", F.lit(True))
     lost = walked.filter("tipo = 2").filter(F.col("fim").isNull() | (F.col("numero") > F.col("fim")) | F.col("ate").isNull() | (F.col("ate") <= F.col("quando")))
     why = lost.join(known, ["grupo", "chave"], "left").withColumn("__known", F.coalesce("__known", F.lit(False)))
-    why = why.select("grupo", "chave", "quando", F.when(missing, "inexistente").otherwise("fora_do_prazo").alias("motivo"))
-    why = why.withColumnRenamed("quando", "__quando")
-    return refs.withColumn("__quando", when).join(why, ["grupo", "chave", "__quando"]).drop("__quando")
+    why = why.select("grupo", "chave", F.col("quando").alias("__quando"), F.when(missing, "inexistente").otherwise("fora_do_prazo").alias("motivo"), F.col("n").alias("__n"))
+    return matching_groups(refs.withColumn("__quando", when), why, ["grupo", "chave", "__quando"], "__n").drop("__quando", "__n")
