@@ -428,3 +428,62 @@ def op_gates(spark: SparkSession, d: str) -> DataFrame:
     q = forecast.quality(forecast.forecasts(spark, p, forecast.GRID[0]))
     lag4 = p.agg(F.avg(F.col("lag_4").isNotNull().cast("int")).alias("x")).first()["x"] or 0.0
     return forecast.run_metrics(spark, "backtest", q | {"lag4": lag4, "alertas": len(forecast.alerts(q, lag4))})
+
+
+# FN-10
+@query("SELECT sk_credor, date_diff('day', CAST(valido_de AS DATE), CAST(valido_ate AS DATE)) AS dias FROM cr WHERE valido_ate IS NOT NULL", "cr")
+def fn10_duration(spark: SparkSession, d: str) -> DataFrame:
+    c = gold.creditors(spark, d).filter("valido_ate is not null")
+    return c.select("sk_credor", F.datediff(F.col("valido_ate").cast("date"), F.col("valido_de").cast("date")).cast("bigint").alias("dias"))
+
+
+# WN-09
+@query("SELECT codigo_orgao, ano_previsto, trimestre_previsto, is_backtest, round(greatest(valor_previsto_p10, 0), 2) AS p10, round(greatest(valor_previsto_p10, valor_previsto_p50, 0), 2) AS p50, round(greatest(valor_previsto_p10, valor_previsto_p50, valor_previsto_p90, 0), 2) AS p90 FROM pv WHERE valor_previsto_p10 IS NOT NULL AND valor_previsto_p50 IS NOT NULL AND valor_previsto_p90 IS NOT NULL", "pv")
+def wn09_monotone(spark: SparkSession, d: str) -> DataFrame:
+    p = gold.forecasts(spark, d).dropna(subset=["valor_previsto_p10", "valor_previsto_p50", "valor_previsto_p90"])
+    a, b, c = (F.col(f"valor_previsto_p{q}") for q in (10, 50, 90))
+    zero = F.lit(0.0)
+    return p.select("codigo_orgao", "ano_previsto", "trimestre_previsto", "is_backtest", F.round(F.greatest(a, zero), 2).alias("p10"), F.round(F.greatest(a, b, zero), 2).alias("p50"), F.round(F.greatest(a, b, c, zero), 2).alias("p90"))
+
+
+# AG-24
+@query("SELECT data_snapshot::VARCHAR AS extrato, count(*) AS linhas, count(*) - count(DISTINCT (cnpj_cpf, nome, tipo, historico_infringement)) AS repetidas FROM snapshot_credor GROUP BY 1")
+def ag24_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "snapshot_credor")
+    whole = F.struct("cnpj_cpf", "nome", "tipo", "historico_infringement")
+    one = s.groupBy("data_snapshot", whole.alias("r")).agg(F.count("*").alias("n"))
+    return one.groupBy(F.col("data_snapshot").cast("string").alias("extrato")).agg(F.sum("n").alias("linhas"), (F.sum("n") - F.count("*")).alias("repetidas"))
+
+
+# AG-29, TM-01, TM-04: newest load of each source and whether it has enough rows
+@query("""SELECT fonte, CAST(max(dia) AS VARCHAR) AS marca, count(*) AS cargas, max(registros) >= 100 AS completa FROM (SELECT lower(trim(fonte)) AS fonte, registros, CASE WHEN regexp_matches(trim(data_extracao), '^[0-9]{2}/') THEN CAST(strptime(trim(data_extracao), '%d/%m/%Y') AS DATE) ELSE CAST(substr(trim(data_extracao), 1, 10) AS DATE) END AS dia FROM bronze_ingestao) GROUP BY fonte""")
+def tm01_marks(spark: SparkSession, d: str) -> DataFrame:
+    b = table(spark, d, "bronze_ingestao").select(F.lower(F.trim("fonte")).alias("fonte"), "registros", rules.as_day(F.trim("data_extracao")).alias("dia"))
+    return b.groupBy("fonte").agg(F.max("dia").cast("string").alias("marca"), F.count("*").alias("cargas"), (F.max("registros") >= 100).alias("completa"))
+
+
+# SNK-16: rows that a retention of 90 days keeps, counted by day
+@query("SELECT CAST(CAST(coletado_em AS DATE) AS VARCHAR) AS dia, count(*) AS linhas FROM sessoes_ssh WHERE coletado_em >= (SELECT max(coletado_em) FROM sessoes_ssh) - INTERVAL 90 DAY GROUP BY 1")
+def snk16_retained(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "sessoes_ssh")
+    newest = s.agg(F.max("coletado_em").alias("__m"))
+    kept = s.crossJoin(F.broadcast(newest)).filter(F.col("coletado_em") >= F.col("__m") - F.make_dt_interval(F.lit(90)))  # one row
+    return kept.groupBy(F.to_date("coletado_em").cast("string").alias("dia")).agg(F.count("*").alias("linhas"))
+
+
+# OP-DQHIST: the warnings of a run
+@query("SELECT teste, violacoes FROM (SELECT 'contrato_sem_orgao' AS teste, (SELECT count(*) FROM fc WHERE sk_orgao IS NULL) AS violacoes UNION ALL SELECT 'ordem_valor_nao_negativo', (SELECT count(*) FROM fo WHERE valor < 0) UNION ALL SELECT 'credor_sem_tipo', (SELECT count(*) FROM cr WHERE tipo IS NULL)) WHERE violacoes > 0", "fc", "fo", "cr")
+def op_dqhist(spark: SparkSession, d: str) -> DataFrame:
+    keep = ("contrato_sem_orgao", "ordem_valor_nao_negativo", "credor_sem_tipo")
+    h = quality.warning_history([c for c in checks(spark, d) if c.name in keep], F.current_timestamp())
+    return h.select("teste", "violacoes")
+
+
+# Skew-safe running totals of each body (the ranges operator as a query)
+@query("SELECT sk_orgao, id_ob_origem, ano, row_number() OVER w AS row_in_key, coalesce(CAST(sum(valor) OVER (PARTITION BY sk_orgao ORDER BY ano, id_ob_origem ROWS UNBOUNDED PRECEDING) AS DECIMAL(18,2)), 0) AS acumulado FROM fo WINDOW w AS (PARTITION BY sk_orgao ORDER BY ano, id_ob_origem)", "fo")
+def p3_running(spark: SparkSession, d: str) -> DataFrame:
+    from erario.operators.ranges import running
+
+    f = gold.bank_orders(spark, d).select("sk_orgao", "ano", "id_ob_origem", (F.col("valor") * 100).cast("bigint").alias("centavos"))
+    r = running(f, "sk_orgao", ["ano", "id_ob_origem"], "centavos")
+    return r.select("sk_orgao", "id_ob_origem", "ano", "row_in_key", (F.col("total_in_key") / 100).cast("decimal(18,2)").alias("acumulado"))
