@@ -13,6 +13,7 @@ from erario.operators.compaction import Compacted, compact
 from erario.operators.heavykeys import heavy_keys, key_profile
 from erario.operators.history import creditor_versions
 from erario.operators.orphans import composite_number, orphans
+from erario.session import drop_on_exit, shared_dir
 from erario.tables import table
 
 #: Share of the rows of a table above which a key counts as heavy.
@@ -23,11 +24,13 @@ SESSIONS = ["evento", "usuario", "origem_ip", "sessao_pid", "timestamp_evento"]
 
 
 def _compacted(spark: SparkSession, sf_dir: str) -> dict[str, Compacted]:
-    run = uuid.uuid4().hex
-    return {
-        name: compact(table(spark, sf_dir, name), F.to_date("coletado_em"), "arquivo", "registro_id", same, f"compactado/{run}/{name}")
+    root = f"{shared_dir(spark)}/compactado-{uuid.uuid4().hex}"
+    done = {
+        name: compact(table(spark, sf_dir, name), F.to_date("coletado_em"), "arquivo", "registro_id", same, name, root)
         for name, same in (("infra_metricas_containers", METRICS), ("sessoes_ssh", SESSIONS))
     }
+    drop_on_exit(spark, root)  # a query's rewrite is not kept
+    return done
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

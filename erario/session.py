@@ -55,9 +55,16 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    drop_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_on_exit(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate when the driver ends in order; until then every executor can read it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def shuffle_width(spark: SparkSession, least: int = 1) -> int:
     """Number of shuffle partitions of the session, at least ``least``."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
