@@ -31,6 +31,8 @@ LEAVES, LEAST, TIGHT = 1200, 6, 0.96
 SHARE, LIFT = 0.55, 1.8
 #: Least length of a sentence's weighted vector, and least cosine to its leaf; below, a sentence has no subject.
 LEAST_NORM, LEAST_COSINE = 0.8, 0.3
+#: Weighted share from which a sentence's own terms outvote its leaf.
+OWN_TERMS = 0.6
 #: Sentences in which a term of the vocabulary occurs, at least, and its least weight.
 TERM_COUNT, TERM_WEIGHT = 4, 0.6
 
@@ -50,6 +52,7 @@ class Tree:
 
     vocabulary: dict[str, int]
     weight: np.ndarray
+    rate: np.ndarray  # (terms, areas): share of each area among the sentences that hold the term
     children: np.ndarray  # (nodes, 2), -1 at leaves
     centroid: np.ndarray  # (nodes, terms)
     mixture: np.ndarray  # (nodes, areas): share of the labelled documents
@@ -116,7 +119,7 @@ def fit(texts: list[str], labels: list[list[int]], areas: list[str], seed: int =
     keep = np.flatnonzero(gain > TERM_WEIGHT)
     renumber = np.full(v, -1)
     renumber[keep] = np.arange(len(keep))
-    names, weight = [names[i] for i in keep], gain[keep]
+    names, weight, rate = [names[i] for i in keep], gain[keep], rate[keep]
     tok2 = renumber[tok] if v else tok
     ok = tok2 >= 0
     # equal sentences are one point with a weight
@@ -200,7 +203,7 @@ def fit(texts: list[str], labels: list[list[int]], areas: list[str], seed: int =
             top = int(mixture[node].argmax())
             if mixture[node][top] >= max(SHARE, LIFT * usual[top]):
                 area[node] = top
-    return Tree({t: i for i, t in enumerate(names)}, weight.astype("float32"), np.array(children), np.array(centroid, dtype="float16").reshape(len(children), vn), mixture, area, areas)
+    return Tree({t: i for i, t in enumerate(names)}, weight.astype("float32"), rate.astype("float32").reshape(len(keep), k), np.array(children), np.array(centroid, dtype="float16").reshape(len(children), vn), mixture, area, areas)
 
 
 def assign(tree: Tree, texts: list[str | None]) -> list[list[str]]:
@@ -233,6 +236,10 @@ def assign(tree: Tree, texts: list[str | None]) -> list[list[str]]:
             at = np.where(inner, np.where(c[1] > c[0], kids[:, 1], kids[:, 0]), at)
         cosine = np.bincount(of, weights=w * tree.centroid[at[of], tok], minlength=len(bags))
         found = np.where(active & (cosine >= LEAST_COSINE), tree.area[at], -1)
+        # a leaf may hold sentences of two areas that share a word: the sentence's own terms decide between them
+        own = np.stack([np.bincount(of, weights=w * w * tree.rate[tok, j], minlength=len(bags)) for j in range(tree.rate.shape[1])], axis=1)
+        best = own.argmax(1)
+        found = np.where((found >= 0) & (best != found) & (own.max(1) >= OWN_TERMS), best, found)
         for d, a in zip(doc, found.tolist()):
             if a >= 0:
                 out[d].add(a)
