@@ -85,7 +85,7 @@ def op_asof(spark: SparkSession, d: str) -> DataFrame:
 
 # OP-OVERLAP, JN-09, FN-11
 @query("""WITH spans AS (SELECT c.c_nationkey AS pais, CAST(o.o_orderdate AS DATE) AS inicio, (SELECT max(CAST(l.l_shipdate AS DATE)) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey) AS fim, CAST(o.o_totalprice AS DECIMAL(18,2)) AS valor FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
-  quarters AS (SELECT DISTINCT pais, year(inicio) AS ano, quarter(inicio) AS trimestre FROM spans),
+  quarters AS (SELECT DISTINCT pais, CAST(year(inicio) AS INTEGER) AS ano, CAST(quarter(inicio) AS INTEGER) AS trimestre FROM spans),
   bounded AS (SELECT *, make_date(ano, (trimestre - 1) * 3 + 1, 1) AS a, CAST(make_date(ano, (trimestre - 1) * 3 + 1, 1) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS b FROM quarters)
 SELECT q.pais, q.ano, q.trimestre, coalesce(CAST(sum(s.valor) AS DOUBLE), 0.0) AS ativo FROM bounded q LEFT JOIN spans s ON s.pais = q.pais AND (s.inicio IS NULL OR s.inicio <= q.b) AND (s.fim IS NULL OR s.fim >= q.a) GROUP BY q.pais, q.ano, q.trimestre""")
 def op_overlap(spark: SparkSession, d: str) -> DataFrame:
@@ -129,7 +129,7 @@ def q02_cutoff(spark: SparkSession, d: str) -> DataFrame:
 
 
 # Q-09, AG-17, FN-20
-@query("SELECT faixa, round(faixa * 0.05, 6) AS inicio, round((faixa + 0.5) * 0.05, 6) AS centro, linhas, CASE WHEN (faixa + 0.5) * 0.05 < 0.70 THEN 'Baixo' WHEN (faixa + 0.5) * 0.05 <= 0.85 THEN 'Médio' ELSE 'Alto' END AS risco FROM (SELECT CAST(least(floor(round(round(score_anomalia, 6) / 0.05, 6)), 19) AS INTEGER) AS faixa, count(*) AS linhas FROM sc WHERE score_anomalia BETWEEN 0 AND 1 GROUP BY 1) WHERE (faixa + 0.5) * 0.05 >= 0.49", "sc")
+@query("SELECT faixa, CAST(round(faixa * 0.05, 6) AS DOUBLE) AS inicio, CAST(round((faixa + 0.5) * 0.05, 6) AS DOUBLE) AS centro, linhas, CASE WHEN (faixa + 0.5) * 0.05 < 0.70 THEN 'Baixo' WHEN (faixa + 0.5) * 0.05 <= 0.85 THEN 'Médio' ELSE 'Alto' END AS risco FROM (SELECT CAST(least(floor(round(round(score_anomalia, 6) / 0.05, 6)), 19) AS INTEGER) AS faixa, count(*) AS linhas FROM sc WHERE score_anomalia BETWEEN 0 AND 1 GROUP BY 1) WHERE (faixa + 0.5) * 0.05 >= 0.49", "sc")
 def q09_histogram(spark: SparkSession, d: str) -> DataFrame:
     return rel.histogram(gold.scores(spark, d), "score_anomalia", 20).filter("centro >= 0.49").withColumn("risco", rules.risk_class(F.col("centro")))
 
@@ -325,7 +325,7 @@ def op_blank_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 # FN-01, FN-02, FN-06, FN-07
-@query("SELECT linha_id, strftime(data, '%d/%m/%Y') AS dia, year(data) AS ano_data, month(data) AS mes FROM fe", "fe")
+@query("SELECT linha_id, strftime(data, '%d/%m/%Y') AS dia, CAST(year(data) AS INTEGER) AS ano_data, CAST(month(data) AS INTEGER) AS mes FROM fe", "fe")
 def fn01_dates(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "empenhos").select("linha_id", rules.iso_day_text(F.col("dataemissao")).alias("t"), rules.as_day(F.col("dataemissao")).alias("d"))
     y, m = rules.year_month(F.col("t"))
@@ -360,7 +360,7 @@ def fn14_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 # FN-17, FN-18
-@query("SELECT doc_id, len(v) AS valores, round(coalesce(list_sum(v), 0), 2) AS soma FROM (SELECT doc_id, list_transform(regexp_extract_all(text, 'R\\$\\s?([0-9]{1,3}(?:\\.[0-9]{3})*(?:,[0-9]{1,2})?|[0-9]+(?:,[0-9]{1,2})?)', 1), lambda x: CAST(replace(replace(x, '.', ''), ',', '.') AS DOUBLE)) AS v FROM documents WHERE text IS NOT NULL)")
+@query("SELECT doc_id, CAST(len(v) AS INTEGER) AS valores, round(coalesce(list_sum(v), 0), 2) AS soma FROM (SELECT doc_id, list_transform(regexp_extract_all(text, 'R\\$\\s?([0-9]{1,3}(?:\\.[0-9]{3})*(?:,[0-9]{1,2})?|[0-9]+(?:,[0-9]{1,2})?)', 1), lambda x: CAST(replace(replace(x, '.', ''), ',', '.') AS DOUBLE)) AS v FROM documents WHERE text IS NOT NULL)")
 def fn17_amounts(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "documents").filter("text is not null").select("doc_id", rules.amounts(F.col("text")).alias("v"))
     return a.select("doc_id", F.size("v").alias("valores"), F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x), 2).alias("soma"))

@@ -87,6 +87,6 @@ SQL: dict[str, str] = {
         FROM (SELECT * REPLACE ({_ID} AS id_contrato_origem) FROM score_anomalia_contrato WHERE trim(id_contrato_origem) <> '' AND ano IS NOT NULL)) WHERE rn = 1)""",
     "pv": f"""pv AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY codigo_orgao, ano_previsto, trimestre_previsto, is_backtest ORDER BY scored_at DESC NULLS LAST, valor_previsto_p50 DESC NULLS LAST, nome_orgao DESC NULLS LAST) AS rn
         FROM (SELECT * REPLACE ({_PLAIN_NUMBER.format(c="codigo_orgao")} AS codigo_orgao) FROM previsao_pagamento_orgao WHERE trim(codigo_orgao) <> '')) WHERE rn = 1)""",
-    "te": f"""te AS (SELECT md5(strftime(data, '%Y-%m-%d')) AS sk_tempo, data, year(data) AS ano, quarter(data) AS trimestre, month(data) AS mes, isodow(data) AS dia_semana
+    "te": f"""te AS (SELECT md5(strftime(data, '%Y-%m-%d')) AS sk_tempo, data, CAST(year(data) AS INTEGER) AS ano, CAST(quarter(data) AS INTEGER) AS trimestre, CAST(month(data) AS INTEGER) AS mes, CAST(isodow(data) AS INTEGER) AS dia_semana
         FROM (SELECT CAST(unnest(generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE) AS data))""",
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,24 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers of a session, once; they may run where the repository isn't."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = Path(__file__).resolve().parent
+    # the driver's own copy; Spark's file server brings it to the executors
+    target = Path(tempfile.mkdtemp(prefix="erario-")) / "erario-package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, Path("erario") / f.relative_to(here))
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
+
+
 def drop_on_exit(spark: SparkSession, path: str) -> None:
     """Delete an intermediate when the driver ends in order; until then every executor can read it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

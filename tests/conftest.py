@@ -3,6 +3,8 @@ import os
 import pytest
 from pyspark.sql import SparkSession
 
+from erario.session import ship_package
+
 DATA = os.environ.get("ERARIO_TEST_DATA", "/root/testdata")
 
 
@@ -13,6 +15,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    ship_package(s)
     yield s
 
 
