@@ -13,7 +13,6 @@ equal texts of a batch are stored once, which bounds what a key that many rows s
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterable
 
