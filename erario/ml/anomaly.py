@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,7 +70,7 @@ def path_lengths(x: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         left = x[np.arange(len(x)), np.maximum(f, 0)] < nodes[at, 1]
         at = np.where(inner, np.where(left, nodes[at, 2], nodes[at, 3]).astype(int), at)
         depth += inner
-    return depth + np.array([_c(n) for n in nodes[at, 4]])
+    return depth + np.array([_c(n) for n in nodes[:, 4]])[at]
 
 
 def train(rows: DataFrame, key: str, features: Sequence[str], trees: int = TREES, seed: int = SEED) -> list[np.ndarray]:
@@ -128,7 +129,7 @@ def scored(rows: DataFrame, features: Sequence[str], forest: list[np.ndarray], c
 
     contamination: "auto" flags raw scores above AUTO; a number flags about that share of the rows, the highest.
     """
-    raw = raw_scores(rows, features, forest)
+    raw = raw_scores(rows, features, forest).persist(StorageLevel.MEMORY_AND_DISK)  # read for the bounds and the result
     if contamination == "auto":
         s = raw.agg(F.min("bruto").alias("__lo"), F.max("bruto").alias("__hi"), F.lit(AUTO).alias("__cut"))
     else:
