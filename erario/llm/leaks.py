@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from erario.llm.text import plain, tokens
@@ -36,6 +37,8 @@ COSINE = 0.5
 BLOCK = 1024
 #: Words of an item that must stand in the document, and the share of the item's own words among those it should hold.
 LEAST_WORDS, LEAST_OWN, OWN_SHARE = 12, 3, 0.5
+#: Share of the passages from which a word is nobody's name.
+OFTEN = float(np.exp(-6.0))
 
 
 def hashed(words: list[str], memo: dict[str, int]) -> list[int]:
@@ -190,17 +193,58 @@ _WORD = re.compile(r"\S+")
 _PARTS = re.compile(r"(?<=[.!?])\s+|\s+(?=\([a-z]\)\s)")
 
 
+def possible_names(texts: dict[int, tuple[str, str]]) -> dict[int, frozenset[str]]:
+    """Words of each item that may be names: longer ones that it writes with a capital everywhere and few items hold."""
+    held = {k: set(tokens(q)) for k, (q, _) in texts.items()}
+    uses = Counter(w for ws in held.values() for w in ws)
+    out = {}
+    for k, (q, _) in texts.items():
+        # names are written with a capital wherever they stand; a text in one case only can't tell
+        low = {x for w in _WORD.findall(q) if w[:1].islower() for x in tokens(w)}
+        out[k] = frozenset(x for x in held[k] if not x.isdigit() and x not in low and len(x) > 4 and uses[x] <= max(2, 0.03 * len(texts)))
+    return out
+
+
+class Away:
+    """Passages of a text in which possible names of the items stand away from the item's other own words.
+
+    An occurrence with LEAST_OWN other possible names or numbers of the item near it belongs to a copy of the item and
+    tells nothing of how common the word is.
+    """
+
+    def __init__(self, texts: dict[int, tuple[str, str]]):
+        names = possible_names(texts)
+        self.own = {k: names[k] | {x for x in tokens(q) if x.isdigit()} for k, (q, _) in texts.items()}
+        self.items: dict[str, list[int]] = defaultdict(list)
+        for k, ws in names.items():
+            for w in ws:
+                self.items[w].append(k)
+        self.words = sorted(self.items)
+        self.number = {w: i for i, w in enumerate(self.words)}
+
+    def of(self, toks: list[str]) -> list[int]:
+        """Numbers in ``words``, one for each passage (of PASSAGE words, without overlap) and word."""
+        out = set()
+        for j, w in enumerate(toks):
+            i = self.number.get(w)
+            if i is not None and (j // PASSAGE, i) not in out:
+                near = set(toks[max(0, j - PASSAGE) : j + PASSAGE + 1]) - {w}
+                if all(len(near & self.own[k]) < LEAST_OWN for k in self.items[w]):
+                    out.add((j // PASSAGE, i))
+        return [i for _, i in out]
+
+
 def prepare(texts: dict[int, tuple[str, str]], common: frozenset[str]) -> list[Item]:
     """Items with their own words: names and numbers that no stock formula holds.
 
-    texts: item_id -> (text, answer). common: words that many corpus texts share. Sentences all of whose words are
-    common or that several items share word by word are formulas and don't count.
+    texts: item_id -> (text, answer). common: those of the possible names that many corpus texts hold. Sentences all of
+    whose words are common or that several items share word by word are formulas and don't count.
     """
+    possible = possible_names(texts)
     plains = {k: plain(q) for k, (q, _) in texts.items()}
     shared = Counter(s for q in plains.values() for s in {" ".join(tokens(x)) for x in _PARTS.split(q)})
-    uses = Counter(w for q in plains.values() for w in set(tokens(q)))
     out = []
-    for k, (_, answer) in texts.items():
+    for k in texts:
         sents, of = [], []
         for s in _PARTS.split(plains[k]):
             t, num = [], []
@@ -212,9 +256,7 @@ def prepare(texts: dict[int, tuple[str, str]], common: frozenset[str]) -> list[I
                 sents.append(t)
                 of.append(num)
         used = {x for t in sents for x in t}
-        # names are written with a capital wherever they stand; a text in one case only can't tell
-        low = {x for w in _WORD.findall(texts[k][0]) if w[:1].islower() for x in tokens(w)}
-        names = {x for x in used if not x.isdigit() and x not in common and x not in low and len(x) > 4 and uses[x] <= max(2, 0.03 * len(texts))}
+        names = used & possible[k] - common
         out.append(Item(k, sents, of, frozenset(names | {x for x in used if x.isdigit()}), frozenset(names)))
     return out
 
@@ -306,12 +348,17 @@ def find(documents: DataFrame, items: DataFrame, cosine: float = COSINE) -> Data
         return session.createDataFrame([], schema)
     texts = documents.filter("text is not null and trim(text) <> ''").select("doc_id", "text")
 
+    away = Away(asked)
+
     def to_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([hashed(tokens(x), memo) for x in batch.column("text").to_pylist()], pa.list_(pa.int32()))], names=["ids"])
+            toks = [tokens(x) for x in batch.column("text").to_pylist()]
+            columns = [[hashed(t, memo) for t in toks], [away.of(t) for t in toks]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int32())) for c in columns], names=["ids", "away"])
 
-    words = written(texts.select("text").mapInArrow(to_words, "ids array<int>"), "leak-words")
+    read = written(texts.select("text").mapInArrow(to_words, "ids array<int>, away array<int>"), "leak-words")
+    words = read.select("ids")
     memo: dict[str, int] = {}
     item_words = {k: np.array(hashed(tokens(q), memo), dtype="int64") for k, (q, _) in asked.items()}
     idf, basis, _ = latent_space(words, list(item_words.values()))
@@ -323,10 +370,10 @@ def find(documents: DataFrame, items: DataFrame, cosine: float = COSINE) -> Data
             owner.append(n)
     q = weighted(query, idf).times(basis)
     q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-9)
-    # words that are no item's own: those that occur in many passages of the corpus, by hash
-    often = float(np.exp(-6.0))
-    n = float(np.exp(idf.max()))
-    common = frozenset(w for qs in asked.values() for w in tokens(qs[0]) if not w.isdigit() and np.exp(-idf[zlib.crc32(w.encode()) % WIDTH]) > max(often, 30 / n))
+    # words that are no item's own: those that occur in many passages of the corpus away from the item's other words
+    n = words.filter("size(ids) > 0").agg(F.sum(F.ceil(F.size("ids") / PASSAGE))).first()[0] or 0
+    times = read.select(F.explode("away").alias("w")).groupBy("w").count().collect()  # at most the items' words
+    common = frozenset(away.words[r["w"]] for r in times if r["count"] > max(OFTEN * n, 30))
     shared = session.sparkContext.broadcast((idf, basis, q, np.array(owner), prepare(asked, common)))  # fixed size
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

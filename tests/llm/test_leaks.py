@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 import pytest
 
@@ -90,3 +92,25 @@ def test_text_forms():
     assert plain("<p>AÇÃO</p>").split() == ["acao"]
     assert tokens("R$ 1.234,56") == ["r", "1", "234", "56"]
     assert sentences("Um. Dois; três\n| a | b |") == ["um.", "dois;", "tres", " a ", " b "]
+
+
+QUESTION = "Em qual dos 3 meses o saldo de Pajotrigu fica abaixo de R$ 30.837,17?"  # own words: a name and four numbers
+
+
+def test_names_are_told_by_their_own_count(spark):
+    def colliding(name):
+        goal = leaks.hashed([name], {})
+        words = ("".join(x) for x in itertools.product("abcdefghij", repeat=7))
+        return next(w for w in words if leaks.hashed([w], {}) == goal)
+
+    frequent = " ".join(map(colliding, ("pajotrigu", "brufubete")))
+    texts = [AROUND + QUESTION + " " + AROUND] + [AROUND + f"Contrato {i} {frequent}." for i in range(60)]
+    assert run(spark, texts, [(1, ITEM, "238", "x")]) == [(0, 1)]
+
+
+def test_copies_dont_make_a_name_common(spark):
+    texts = [AROUND + QUESTION + " " + AROUND] * 45 + [AROUND + f"Contrato {i}." for i in range(600)]
+    assert run(spark, texts, [(1, ITEM, "238", "x")]) == [(i, 1) for i in range(45)]
+    away = leaks.Away({1: (ITEM, "238")})
+    assert away.of(tokens(AROUND + QUESTION)) == []
+    assert [away.words[i] for i in away.of(tokens("Pajotrigu " + AROUND * 3 + " Pajotrigu pediu Pajotrigu"))] == ["pajotrigu"] * 2
