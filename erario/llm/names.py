@@ -1,8 +1,8 @@
 """Variant spellings of the names of persons and organisations.
 
 Names become vectors of character n-grams, weighted by the square of their inverse document frequency so that what few
-names share counts most, and keep their heaviest n-grams up to a share of their norm. A distributed sparse join finds all pairs
-of these vectors above a cosine. Pairs are then compared part by part, as relatives and sister companies are as near by n-grams as variants are; what holds is
+names share counts most. A distributed sparse join over the heaviest n-grams of each name proposes all pairs that may
+reach a cosine, and these are scored over the whole vectors. Pairs are then compared part by part, as relatives and sister companies are as near by n-grams as variants are; what holds is
 grouped by average-linkage clustering, in rounds that merge clusters which are each other's nearest.
 """
 
@@ -202,13 +202,8 @@ def vocabulary(forms: DataFrame) -> Words:
     return Words(trade, given, frequent)
 
 
-def similar_pairs(forms: DataFrame, cosine: float = COSINE, rest: float = REST) -> DataFrame:
-    """(a, b): ids of all forms whose sparse n-gram vectors reach the cosine, a < b, each pair once.
-
-    forms: id, forma. A vector has unit norm over all n-grams of the name; of these it keeps the heaviest ones, until
-    what is left has a norm below ``rest``. The join over the kept n-grams is exact. Postings of a frequent n-gram are
-    cut into blocks, and each block meets each other one in a task of its own, so no n-gram is one task's load.
-    """
+def _vectors(forms: DataFrame) -> DataFrame:
+    """(id, g, df, u, __rest): n-gram vectors of unit norm, and the squared norm of an n-gram and all lighter ones."""
     n = forms.count()
     g = forms.select("id", F.explode(_grams_udf()(F.col("forma"))).alias("g"))
     df = g.groupBy("g").agg(F.count("*").alias("df"))
@@ -217,17 +212,55 @@ def similar_pairs(forms: DataFrame, cosine: float = COSINE, rest: float = REST)
     heavy = Window.partitionBy("id").orderBy(F.desc("w"), "g")
     whole = Window.partitionBy("id")
     ranked = w.withColumn("u", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(whole)))
-    ranked = ranked.withColumn("__rest", 1 - F.coalesce(F.sum(F.col("u") * F.col("u")).over(heavy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-    p = written(ranked.filter(F.col("__rest") >= rest * rest).select("id", "g", "df", "u"), "name-postings")
+    return ranked.withColumn("__rest", 1 - F.coalesce(F.sum(F.col("u") * F.col("u")).over(heavy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+
+
+def _met(p: DataFrame, *more: str) -> DataFrame:
+    """(a, b, ua, ub and ``more`` of both): a row for each n-gram that two ids a < b of the postings share.
+
+    Postings of a frequent n-gram are cut into blocks, and each block meets each other one in a task of its own, so no
+    n-gram is one task's load.
+    """
     blocks = F.greatest(F.lit(1), F.ceil(F.col("df") / BLOCK_ROWS)).cast("int")
     rows = p.withColumn("__n", blocks).withColumn("__b", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     # block i as left side meets the blocks j as right side
     left = rows.withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
     right = rows.withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
-    x = left.select("g", F.col("__b").alias("i"), F.col("__j").alias("j"), F.col("id").alias("a"), F.col("u").alias("ua"))
-    y = right.select("g", F.col("__i").alias("i"), F.col("__b").alias("j"), F.col("id").alias("b"), F.col("u").alias("ub"))
-    met = x.join(y, ["g", "i", "j"]).filter("a < b")
-    return met.groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("s")).filter(F.col("s") >= cosine - 1e-9).select("a", "b")
+    x = left.select("g", F.col("__b").alias("i"), F.col("__j").alias("j"), F.col("id").alias("a"), *[F.col(c).alias(f"{c}a") for c in ("u", *more)])
+    y = right.select("g", F.col("__i").alias("i"), F.col("__b").alias("j"), F.col("id").alias("b"), *[F.col(c).alias(f"{c}b") for c in ("u", *more)])
+    return x.join(y, ["g", "i", "j"]).filter("a < b")
+
+
+def similar_pairs(forms: DataFrame, cosine: float = COSINE, rest: float = REST) -> DataFrame:
+    """(a, b): ids of all forms whose sparse n-gram vectors reach the cosine, a < b, each pair once.
+
+    forms: id, forma. A vector has unit norm over all n-grams of the name; of these it keeps the heaviest ones, until
+    what is left has a norm below ``rest``. The join over the kept n-grams is exact, but pairs that reach the cosine by
+    what is left out are lost: ``whole_pairs`` has them all.
+    """
+    p = written(_vectors(forms).filter(F.col("__rest") >= rest * rest).select("id", "g", "df", "u"), "name-postings")
+    return _met(p).groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("s")).filter(F.col("s") >= cosine - 1e-9).select("a", "b")
+
+
+def whole_pairs(forms: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """(a, b): ids of all forms whose whole n-gram vectors reach the cosine, a < b, each pair once.
+
+    forms: id, forma. Exact: what follows a prefix (the heaviest n-grams) has a norm below the cosine, so two forms that
+    reach it have an n-gram of their prefixes in common. As all vectors have their n-grams in one order, what two forms
+    share besides comes after the prefix that ends first, and after the last shared n-gram of both prefixes: it is at
+    most the rest of the one times the other's norm from there on. Candidates that can't reach the cosine so are
+    dropped, the others are scored over all n-grams.
+    """
+    v = written(_vectors(forms), "name-vectors")
+    after = F.greatest(F.lit(0.0), F.col("__rest") - F.col("u") * F.col("u"))
+    prefix = v.filter(F.col("__rest") >= cosine * cosine).withColumn("t", F.sqrt(after)).withColumn("r", F.min("t").over(Window.partitionBy("id")))
+    p = written(prefix.select("id", "g", "df", "u", "t", "r"), "name-postings")
+    shared = _met(p, "t", "r").groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("s"), F.greatest(F.min(F.col("ra")) * F.min("tb"), F.min(F.col("rb")) * F.min("ta")).alias("more"))
+    near = shared.filter(F.col("s") + F.col("more") >= cosine - 1e-9).select("a", "b")
+    vectors = v.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("g", "u"))).alias("v"))
+    both = near.join(vectors.withColumnRenamed("id", "a").withColumnRenamed("v", "va"), "a").join(vectors.withColumnRenamed("id", "b").withColumnRenamed("v", "vb"), "b")
+    score = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda t, e: t + e["value"] * F.coalesce(F.element_at("vb", e["key"]), F.lit(0.0)))
+    return both.filter(score >= cosine - 1e-9).select("a", "b")
 
 
 def _grams_udf():
@@ -302,7 +335,7 @@ def entities(creditors: DataFrame) -> DataFrame:
     names = written(current_names(creditors), "names")
     forms = written(names.select("forma").distinct().withColumn("id", F.xxhash64("forma")), "names")
     words = vocabulary(forms)
-    links = agreeing(similar_pairs(forms), forms, words)
+    links = agreeing(whole_pairs(forms), forms, words)
     groups = average_linkage(links)
     own = forms.join(groups, "id", "left").select("forma", F.coalesce("grupo", "id").alias("entidade"))
     many = own.groupBy("entidade").agg(F.count("*").alias("formas"))

@@ -94,3 +94,27 @@ def test_pairs_with_copies_nulls_and_history(spark):
 def test_no_creditors(spark):
     assert names.pairs(creditors(spark, [])).count() == 0
     assert names.form("A" * 100_000) == "a" * 100_000
+
+
+def test_whole_vectors_are_compared(spark, monkeypatch):
+    import math
+    import random
+
+    rng = random.Random(4)
+    syl = ["ba", "dre", "vi", "zu", "cotra", "ge", "lo", "pi", "nu", "fa"]
+    fs = sorted({" ".join("".join(rng.choice(syl) for _ in range(rng.randint(2, 5))) for _ in range(rng.randint(1, 3))) for _ in range(200)})
+    monkeypatch.setattr(names, "BLOCK_ROWS", 7)
+    forms = spark.createDataFrame(list(enumerate(fs)), "id bigint, forma string")
+    gs = [set(names.grams(f)) for f in fs]
+    df = {g: sum(g in s for s in gs) for s in gs for g in s}
+    w = {g: math.log((len(fs) + names.SATURATED) / max(n, names.SATURATED)) ** 2 * (names.WHOLE if len(g) < names.GRAM else 1) for g, n in df.items()}
+    norm = [math.sqrt(sum(w[g] ** 2 for g in s)) for s in gs]
+    cos = {(i, j): sum(w[g] ** 2 for g in gs[i] & gs[j]) / (norm[i] * norm[j]) for i, j in itertools.combinations(range(len(fs)), 2)}
+    for least in (0.1, 0.25, 0.5):
+        got = [(r["a"], r["b"]) for r in names.whole_pairs(forms, least).collect()]
+        assert len(got) == len(set(got)) and {p for p, c in cos.items() if c >= least + 1e-6} <= set(got) <= {p for p, c in cos.items() if c >= least - 1e-6}
+
+
+def test_variant_that_shares_light_ngrams(spark):
+    rows = [("1", "Antônio Abacadabelago Bacadafegila Zuvuzazu", True), ("2", "Toninho A. B. Zuvuzazu", True), ("3", "Pedro Cotradrevi", True)]
+    assert [tuple(r) for r in names.pairs(creditors(spark, rows)).collect()] == [("1", "2")]
