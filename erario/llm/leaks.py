@@ -292,38 +292,53 @@ def common_words(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def stretches(own_at: list[tuple[int, str]], reach: int) -> list[tuple[int, int]]:
+    """(distinct words, first place) of the longest stretches within reach, most distinct words first."""
+    out, lo, inside = [], 0, Counter()
+    for hi, (j, x) in enumerate(own_at):
+        while j - own_at[lo][0] > reach:
+            gone = own_at[lo][1]
+            inside[gone] -= 1
+            if not inside[gone]:
+                del inside[gone]
+            lo += 1
+        inside[x] += 1
+        if hi + 1 == len(own_at) or own_at[hi + 1][0] - own_at[lo][0] > reach:
+            out.append((len(inside), own_at[lo][0]))
+    return sorted(out, key=lambda x: (-x[0], x[1]))
+
+
 def evidence(item: Item, doc: list[str], places: dict[str, list[int]]) -> tuple[int, int, int]:
-    """(words of the item in the document, own words matched, own words within the matched parts)."""
+    """(words of the item in the document, own words matched, own words within the matched parts).
+
+    Of the stretches of the document that hold own words of a sentence, the one counts that matches most of them.
+    """
     words = hit = due = 0
     for s, num in zip(item.sentences, item.word_of):
-        own_at = sorted(j for x in set(s) & item.own for j in places.get(x, ()))
-        if not own_at:
-            continue
-        reach = len(s) + 6
-        best, lo = (0, 0), 0
-        for hi, j in enumerate(own_at):  # the stretch with the most own words
-            while j - own_at[lo] > reach:
-                lo += 1
-            best = max(best, (hi - lo + 1, -own_at[lo]))
-        start = max(0, -best[1] - len(s))
-        window = doc[start : -best[1] + len(s) + 8]
-        pairs = common_words(s, window)
-        # the densest run: the match may not stretch over far more of the document than of the item
-        while pairs and pairs[-1][1] - pairs[0][1] > 1.6 * (pairs[-1][0] - pairs[0][0]) + 8:
-            gap_first = pairs[1][1] - pairs[0][1] if len(pairs) > 1 else 0
-            gap_last = pairs[-1][1] - pairs[-2][1] if len(pairs) > 1 else 0
-            pairs = pairs[1:] if gap_first >= gap_last else pairs[:-1]
-        if not pairs:
-            continue
-        got = {s[i] for i, _ in pairs}
-        inside = range(pairs[0][0], pairs[-1][0] + 1)
-        own_in = [i for i in inside if s[i] in item.own]
-        matched = {i for i, _ in pairs}
-        ok = sum(i in matched for i in own_in)
-        if own_in and ok >= 0.34 * len(own_in) and (got & item.names or ok >= 3):
-            words += len({num[i] for i in matched})
-            hit += ok
-            due += len(own_in)
+        own = set(s) & item.own
+        own_at = sorted((j, x) for x in own for j in places.get(x, ()))
+        best = (0, 0, 0)
+        for _, first in stretches(own_at, len(s) + 6):
+            window = doc[max(0, first - len(s)) : first + len(s) + 8]
+            held = own.intersection(window)
+            # no more own words match than the window holds; without a name it takes three
+            if (most := sum(x in held for x in s)) < best[0] or most < 3 and not held & item.names:
+                continue
+            pairs = common_words(s, window)
+            # the densest run: the match may not stretch over far more of the document than of the item
+            while pairs and pairs[-1][1] - pairs[0][1] > 1.6 * (pairs[-1][0] - pairs[0][0]) + 8:
+                gap_first = pairs[1][1] - pairs[0][1] if len(pairs) > 1 else 0
+                gap_last = pairs[-1][1] - pairs[-2][1] if len(pairs) > 1 else 0
+                pairs = pairs[1:] if gap_first >= gap_last else pairs[:-1]
+            if not pairs:
+                continue
+            got = {s[i] for i, _ in pairs}
+            own_in = [i for i in range(pairs[0][0], pairs[-1][0] + 1) if s[i] in item.own]
+            matched = {i for i, _ in pairs}
+            ok = sum(i in matched for i in own_in)
+            if own_in and ok >= 0.34 * len(own_in) and (got & item.names or ok >= 3):
+                best = max(best, (ok, len({num[i] for i in matched}), -len(own_in)))
+        hit, words, due = hit + best[0], words + best[1], due - best[2]
     return words, hit, due
 
 

@@ -114,3 +114,11 @@ def test_copies_dont_make_a_name_common(spark):
     away = leaks.Away({1: (ITEM, "238")})
     assert away.of(tokens(AROUND + QUESTION)) == []
     assert [away.words[i] for i in away.of(tokens("Pajotrigu " + AROUND * 3 + " Pajotrigu pediu Pajotrigu"))] == ["pajotrigu"] * 2
+
+
+def test_repeated_words_elsewhere_dont_hide_a_passage():
+    item = leaks.prepare({1: (ITEM, "238"), 2: (OTHER, "x")}, frozenset())[0]
+    for table in ("Pajotrigu 3 " * 15, "3 30 17 " * 12):
+        doc = tokens(AROUND + table + AROUND * 4 + QUESTION + " " + AROUND)
+        places = {x: [j for j, y in enumerate(doc) if y == x] for x in doc}
+        assert leaks.leaked(item, doc, places)
