@@ -67,6 +67,7 @@ _SCD_SOURCE = "SELECT * FROM (SELECT regexp_replace(cnpj_cpf, '[^0-9]', '', 'g')
 SELECT ck AS cnpj_cpf, cn AS nome, ct AS tipo, ch AS historico_infringement, strftime(cd, '%Y-%m-%d %H:%M:%S') AS valido_de, CASE WHEN changed THEN '2025-02-01 00:00:00' END AS valido_ate FROM j WHERE ck IS NOT NULL
 UNION ALL SELECT sk, sn, st, sh, '2025-02-01 00:00:00', NULL FROM j WHERE ck IS NULL OR changed""")
 def op_scd(spark: SparkSession, d: str) -> DataFrame:
+    """One SCD2 step only: the earliest extract; later ones are left out, as in the SQL (p4_versions takes them all)."""
     s = table(spark, d, "snapshot_credor").withColumn("cnpj_cpf", F.regexp_replace("cnpj_cpf", "[^0-9]", "")).withColumn("nome", F.trim("nome"))
     first = s.agg(F.min("data_snapshot").alias("__m"))
     src = rel.dedup(s.join(F.broadcast(first), F.col("data_snapshot") == F.col("__m")).select("cnpj_cpf", "nome", "tipo", "historico_infringement", "carregado_em"), ["cnpj_cpf"], ["carregado_em", "nome", "tipo", "historico_infringement"])
