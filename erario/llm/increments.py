@@ -1,69 +1,151 @@
 """Rows of new batches that repeat something already accepted, by immutable suffix arrays.
 
-Every batch leaves an immutable segment: the texts of its records, one after the other, and the sorted starts of their
-words (a sparse suffix array). A new batch looks up its own substrings in the segments by binary search, adds up how
-much of each of its records an older record covers, and is then appended as a segment of its own; segments of like size
-are merged, so a history of n batches has about log n of them and nothing of it is read again but what is looked up.
-
-Two texts stand for a record: its identity (``ano:id``) and its content, where each word of the description follows a
-digest of the fields that must be equal. A long match is therefore one that runs through the digest and the word.
-Texts are spread over shards by identity and by digest, so a lookup meets all records it could match in one shard;
-equal texts of a batch are stored once, which bounds what a key that many rows share can bring to a shard.
+``History`` is a folder of segments. A segment holds, shard by shard, the texts of the records of one batch, one after
+the other, and their suffix array: the places where a record or one of its words begins, in the order of what follows
+there. Accepting a batch
+
+1. makes its segment, which is never changed again;
+2. looks up substrings of the batch's records in that segment and in the older ones by binary search. A record has two
+   texts: its identity (``ano:id``), and the fields that must be equal followed by its description. A match that runs
+   through the whole identity, or through all of those fields, makes an older record a candidate; matches of LEAST
+   letters or more at the description's words are added up to the coverage of the record by each candidate. What is
+   covered to ALIKE is a repetition; of the others an exact comparison of the words decides;
+3. merges segments of like size before the next batch is taken, so a history of n batches has about log n of them.
+
+The rows of older batches are never read again, only segments are. Texts go to shards by their leading fields and the
+value (in blocks of ten units of money), so a lookup meets all it could match in one shard, or two at the edge of a block. Equal texts of a
+batch are stored once, with the first row that has them, which bounds what a commitment that a third of the rows repeat
+brings to a shard; leading fields with more distinct texts than half a shard are spread over several, and sought in each.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from erario.functions.keys import stripped
+from erario.operators.compaction import swap_into_place
 from erario.operators.ranges import matching_groups
-from erario.session import written
-
-#: Rows that a shard holds on average, batches that a whole history is cut into, words kept of the sorted texts (bytes).
-SHARD_ROWS, BATCHES, WIDE = 40_000, 16, 40
-#: Letters of a record that an older one must cover for a closer look, and the share that must agree then.
-COVERAGE, ALIKE = 0.2, 0.58
+from erario.session import drop_on_exit, shared_dir, written
+
+#: Texts that a shard holds on average, and batches that ``repeated`` cuts a whole history into (runs of whole loads).
+SHARD_ROWS, BATCHES = 20_000, 4
+#: Bytes by which suffixes are ordered; longer leading fields are stored as a digest.
+WIDE, LONGEST = 128, 96
+#: Letters that a match of a description has at least, and the share of two descriptions that must agree.
+LEAST, ALIKE = 8, 0.58
+#: Bits of the block of values (in cents) that share a shard.
+BLOCK_BITS = 10
 #: Letters with accents and their plain forms.
 _ACCENTS = "áàâãäåéèêëíìîïóòôõöúùûüçñ", "aaaaaaeeeeiiiiooooouuuucn"
 
 
-class Segments:
-    """Sorted texts in immutable segments, merged when a newer one has grown to the size of the one before."""
-
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []  # (texts in order, record of each)
+class Segment:
+    """Suffix array over the concatenated texts of records.
 
-    def append(self, texts: np.ndarray, record: np.ndarray) -> None:
-        """A new segment: ``texts`` (bytes of fixed width) start at the words of ``record``."""
-        if not len(texts):
-            return
-        order = np.argsort(texts, kind="stable")
-        part = (texts[order], record[order])
-        while self.parts and len(self.parts[-1][0]) <= len(part[0]):
-            a, b = self.parts.pop(), part
-            both = np.concatenate([a[0], b[0]])
-            order = np.argsort(both, kind="stable")
-            part = (both[order], np.concatenate([a[1], b[1]])[order])
-        self.parts.append(part)
-
-    def whole(self, texts: np.ndarray) -> np.ndarray:
-        """Whether each text is stored."""
-        hit = np.zeros(len(texts), bool)
-        for stored, _ in self.parts:
-            at = np.searchsorted(stored, texts)
-            hit |= stored[np.minimum(at, len(stored) - 1)] == texts
-        return hit
+    text: all texts; start: where each record's text begins; suffix: places where a record or a word begins, sorted by
+    the WIDE bytes of the record that follow; owner: the record of each such place; ordem, linha, valor, place: of each record.
+    """
 
-    def beginning(self, prefixes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each segment the range of stored texts that begin with each prefix, and the records in order."""
-        end = np.array([p + b"\xff" for p in prefixes.tolist()], dtype=f"S{WIDE + 1}")
-        return [(np.searchsorted(t, prefixes, "left"), np.searchsorted(t, end, "left"), r) for t, r in self.parts]
+    FIELDS = {"text": "u1", "start": "i4", "suffix": "i4", "owner": "i4", "ordem": "i8", "linha": "i8", "valor": "f8", "place": "i8"}
+    SCHEMA = "shard int, " + ", ".join(f"{f} binary" for f in FIELDS)
+
+    def __init__(self, **arrays: np.ndarray):
+        self.__dict__.update(arrays)
+        padded = np.concatenate([self.text, np.zeros(WIDE, "u1")])
+        rows = np.lib.stride_tricks.sliding_window_view(padded, WIDE)[self.suffix] if len(self.suffix) else np.zeros((0, WIDE), "u1")
+        self.whole = self.text.tobytes()
+        self.ends = np.append(self.start[1:], len(self.text))
+        # what follows ends with the record, so the order is the same in whatever text the record stands
+        rows = np.where(np.arange(WIDE) < (self.ends[self.owner] - self.suffix)[:, None], rows, 0).astype("u1")
+        self.slices = rows.view(f"S{WIDE}").ravel()
+
+    @classmethod
+    def of(cls, heads: Iterable[str], bodies: Iterable[str], ordem, linha, valor, place) -> Segment:
+        """Segment of the texts head + body; words of the body begin at its start and after blanks."""
+        hs, bs = [x.encode() for x in heads], [x.encode() + b"\n" for x in bodies]
+        size = np.array([len(h) + len(b) for h, b in zip(hs, bs)], "i8")
+        start = (np.cumsum(size) - size).astype("i4")
+        body = start + np.array([len(h) for h in hs], "i4")
+        text = np.frombuffer(b"".join(h + b for h, b in zip(hs, bs)), "u1")
+        blank = np.flatnonzero(text == 32) + 1
+        of_blank = np.searchsorted(start, blank, "right") - 1
+        inner = blank > body[of_blank] if len(blank) else np.zeros(0, bool)
+        worded = np.array([len(b) > 1 for b in bs], bool)
+        n = np.arange(len(hs))
+        suffix = np.concatenate([start, body[worded], blank[inner]]).astype("i4")
+        owner = np.concatenate([n, n[worded], of_blank[inner]]).astype("i4")
+        out = cls(text=text, start=start, suffix=suffix, owner=owner, ordem=np.asarray(ordem, "i8"), linha=np.asarray(linha, "i8"), valor=np.asarray(valor, "f8"), place=np.asarray(place, "i8"))
+        order = np.argsort(out.slices, kind="stable")
+        out.suffix, out.owner, out.slices = suffix[order], owner[order], out.slices[order]
+        return out
+
+    @classmethod
+    def read(cls, row) -> Segment:
+        return cls(**{f: np.frombuffer(row[f], t) for f, t in cls.FIELDS.items()})
+
+    def row(self, shard: int) -> dict:
+        return {"shard": shard} | {f: np.ascontiguousarray(getattr(self, f), t).tobytes() for f, t in self.FIELDS.items()}
+
+    def part(self, keep: np.ndarray) -> Segment:
+        """The records that ``keep`` marks, their suffixes in the order they have."""
+        number = np.cumsum(keep) - 1
+        size = (self.ends - self.start)[keep]
+        start = np.cumsum(size) - size
+        text = self.text[np.repeat(keep, self.ends - self.start)]
+        s = keep[self.owner]
+        shift = start - self.start[keep]
+        return Segment(text=text, start=start.astype("i4"), suffix=(self.suffix[s] + shift[number[self.owner[s]]]).astype("i4"), owner=number[self.owner[s]].astype("i4"), ordem=self.ordem[keep], linha=self.linha[keep], valor=self.valor[keep], place=self.place[keep])
+
+    def merged(self, other: Segment) -> Segment:
+        """Both texts in one; the sorted suffixes are interleaved, not sorted again."""
+        at = np.searchsorted(self.slices, other.slices, "right") + np.arange(len(other.slices))
+        mine = np.ones(len(self.suffix) + len(other.suffix), bool)
+        mine[at] = False
+        suffix, owner = np.empty(len(mine), "i4"), np.empty(len(mine), "i4")
+        suffix[mine], suffix[at] = self.suffix, other.suffix + len(self.text)
+        owner[mine], owner[at] = self.owner, other.owner + len(self.start)
+        both = lambda f: np.concatenate([getattr(self, f), getattr(other, f)])
+        return Segment(text=both("text"), start=np.concatenate([self.start, other.start + len(self.text)]).astype("i4"), suffix=suffix, owner=owner, ordem=both("ordem"), linha=both("linha"), valor=both("valor"), place=both("place"))
+
+    def ranges(self, prefixes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each prefix the range of suffixes that begin with it."""
+        return np.searchsorted(self.slices, np.array(prefixes, f"S{WIDE + 1}"), "left"), np.searchsorted(self.slices, np.array([p + b"\xff" for p in prefixes], f"S{WIDE + 1}"), "left")
+
+    def body(self, record: int) -> bytes:
+        return self.whole[self.start[record] : self.ends[record]].rsplit(b"|", 1)[-1].rstrip(b"\n")
+
+    def coverage(self, body: bytes, candidates: list[int]) -> dict[int, int]:
+        """Letters of the words of ``body`` that lie within matches of LEAST letters or more with each candidate."""
+        words, at = body.split(b" "), 0
+        begin = []
+        for w in words:
+            begin.append(at)
+            at += len(w) + 1
+        text = body + b"\n"
+        sought = [(j, text[j : j + LEAST]) for j in begin if len(text) - j >= LEAST]
+        wanted = np.zeros(len(self.start), bool)
+        wanted[candidates] = True
+        covered: dict[int, set[int]] = {r: set() for r in candidates}
+        if sought:
+            los, his = self.ranges([x for _, x in sought])
+            for (j, _), lo, hi in zip(sought, los, his):
+                for k in lo + np.flatnonzero(wanted[self.owner[lo:hi]]):
+                    here = self.suffix[k]
+                    there = self.whole[here : here + len(text) - j]
+                    mine = text[j:]
+                    n = len(mine) if mine == there else next((i for i, (x, y) in enumerate(zip(mine, there)) if x != y), min(len(mine), len(there)))
+                    # whole words only: a word ends there too
+                    end = j + n - (there[n : n + 1] not in (b" ", b"\n", b""))
+                    covered[int(self.owner[k])].update(i for i, b in enumerate(begin) if b >= j and b + len(words[i]) <= end)
+        return {r: sum(len(words[i]) for i in c) for r, c in covered.items()}
 
 
 def _edits(a: str, b: str, most: int) -> bool:
@@ -148,8 +230,8 @@ def prepared(rows: DataFrame, loads: DataFrame) -> DataFrame:
     """(linha_id, ordem, identidade, chave, centavos, palavras) of commitments as received.
 
     ordem: day and number of the load (then linha_id decides); loads that aren't in the register come last. identidade:
-    ``ano:id`` or null where the id was lost. chave: digest of the fields that must be equal, null unless all of them
-    and valor are known; the numbers of the description are part of it.
+    ``ano:id`` or null where the id was lost. chave: the fields that must be equal (their digest where they are longer than
+    LONGEST bytes), null unless all of them and valor are known; the numbers of the description are part of it.
     """
     rows = rows.select("linha_id", "carga_id", "id", "ano", "dataemissao", "codigoug", "codigocredor", "codprocesso", "valor", "historico")
     days = loads.filter("carga_id is not null").groupBy("carga_id").agg(F.min(day_of(F.col("data_extracao"))).alias("__dia"))
@@ -163,7 +245,7 @@ def prepared(rows: DataFrame, loads: DataFrame) -> DataFrame:
     day = day_of(F.col("dataemissao"))
     all_known = known[0].isNotNull() & known[1].isNotNull() & known[2].isNotNull() & day.isNotNull() & cents.isNotNull()
     text = F.concat_ws("|", *known, day.cast("string"), numbers)
-    key = F.when(all_known, F.substring(F.md5(text), 1, 16))
+    key = F.when(all_known, F.when(F.octet_length(text) > LONGEST, F.md5(text)).otherwise(text))
     load = F.coalesce(F.date_format("__dia", "yyyyMMdd").try_cast("bigint"), F.lit(99999999)) * 10**10 + F.coalesce(F.col("carga_id"), F.lit(10**10 - 1))
     return with_day.select(
         "linha_id", load.alias("ordem"), F.when(number.isNotNull() & F.col("ano").isNotNull(), F.concat_ws(":", "ano", number)).alias("identidade"),
@@ -171,82 +253,204 @@ def prepared(rows: DataFrame, loads: DataFrame) -> DataFrame:
     )
 
 
-def _chunks(keys: Iterable[str], bodies: Iterable[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Texts at the starts of the words of records, the record of each and the length of the word.
+def entries(p: DataFrame) -> DataFrame:
+    """(cabeca, centavos, palavras, ordem, linha_id, valor, n): the distinct texts of a prepared batch, their first row and their number."""
+    place = F.struct("ordem", "linha_id", "valor")
+    out = texts(p).groupBy("cabeca", "centavos", "palavras").agg(F.min(place).alias("f"), F.count("*").alias("n"))
+    return out.select("cabeca", "centavos", "palavras", "f.ordem", "f.linha_id", F.coalesce("f.valor", F.lit(0.0)).alias("valor"), "n")
+
+
+def texts(p: DataFrame) -> DataFrame:
+    """(cabeca, centavos, palavras, ordem, linha_id, valor): one row for each of the two texts a prepared row may have."""
+    identity = F.when(F.col("identidade").isNotNull(), F.struct(F.concat(F.lit("#"), "identidade").alias("cabeca"), F.lit(0).cast("bigint").alias("centavos"), F.lit("").alias("palavras")))
+    content = F.when(F.col("chave").isNotNull(), F.struct(F.concat(F.lit("="), "chave").alias("cabeca"), F.col("centavos"), F.col("palavras")))
+    return p.select("ordem", "linha_id", "valor", F.explode(F.array_compact(F.array(identity, content))).alias("t")).select("t.*", "ordem", "linha_id", "valor")
 
-    A record without words has the bare digest as its only text.
+
+def _heads(cabeca: Iterable[str], centavos: Iterable[int]) -> list[str]:
+    return [f"{h}|{c}|" if h[0] == "=" else f"{h}|" for h, c in zip(cabeca, centavos)]
+
+
+def _build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    s = Segment.of(_heads(pdf["cabeca"], pdf["centavos"]), pdf["palavras"], pdf["ordem"], pdf["linha_id"], pdf["valor"], pdf["place"])
+    return pd.DataFrame([s.row(int(key[0]))])
+
+
+def search(asked: pd.DataFrame, stored: Segment) -> np.ndarray:
+    """Whether each asked text repeats an earlier record of the segment.
+
+    asked: cabeca, centavos, palavras, ordem, linha_id, valor.
     """
-    texts, record, size = [], [], []
-    for i, (k, body) in enumerate(zip(keys, bodies)):
-        words = [w for w in body.split(" ") if len(w) > 2] or [""]
-        for w in words:
-            texts.append((k + w).encode()[:WIDE])
-            record.append(i)
-            size.append(max(1, len(w)))
-    return np.array(texts, dtype=f"S{WIDE}"), np.array(record, dtype="int64"), np.array(size, dtype="int64")
+    found = np.zeros(len(asked), bool)
+    content = np.array([h[0] == "=" for h in asked["cabeca"]], bool)
+    ordem, linha, valor = (asked[c].to_numpy() for c in ("ordem", "linha_id", "valor"))
+    cands: dict[int, list[int]] = {}
+    for step in (0, -1, 1):  # values may differ by a cent
+        pick = np.arange(len(asked)) if step == 0 else np.flatnonzero(content)
+        if not len(pick):
+            continue
+        some = asked.iloc[pick]
+        los, his = stored.ranges([x.encode() for x in _heads(some["cabeca"], some["centavos"] + step)])
+        for i, lo, hi in zip(pick[his > los], los[his > los], his[his > los]):
+            r = stored.owner[lo:hi]
+            ok = (stored.ordem[r] < ordem[i]) | (stored.ordem[r] == ordem[i]) & (stored.linha[r] < linha[i])
+            if content[i]:
+                ok &= np.abs(stored.valor[r] - valor[i]) <= 0.01 + 1e-6
+            if ok.any():
+                cands.setdefault(int(i), []).extend(r[ok].tolist())
+    bodies = asked["palavras"].tolist()
+    for i, rs in cands.items():
+        if not content[i]:
+            found[i] = True
+            continue
+        body = bodies[i].encode()
+        cover = stored.coverage(body, rs)
+        mine = sum(map(len, body.split()))
+        for r in sorted(rs, key=lambda r: (-cover[r], stored.ordem[r], stored.linha[r])):
+            other = stored.body(r)
+            most = max(mine, sum(map(len, other.split())))
+            if (cover[r] >= ALIKE * most if most else True) or alike(body.decode().split(), other.decode().split()) >= ALIKE:
+                found[i] = True
+                break
+    return found
 
 
-def search_identities(pdf: pd.DataFrame, segments: Segments) -> np.ndarray:
-    """Whether the identities of one batch are stored already; appends those that aren't."""
-    texts = np.array([x.encode() for x in pdf["identidade"]], dtype=f"S{WIDE}")
-    seen = segments.whole(texts)
-    segments.append(texts[~seen], np.zeros(int((~seen).sum()), "int64"))
-    return seen
+def _search(asked: pd.DataFrame, blobs: pd.DataFrame) -> pd.DataFrame:
+    if not len(asked) or not len(blobs):
+        return asked.iloc[:0][["cabeca", "centavos", "palavras"]]
+    found = np.zeros(len(asked), bool)
+    for _, row in blobs.iterrows():
+        found |= search(asked, Segment.read(row))
+    return asked.loc[found, ["cabeca", "centavos", "palavras"]]
 
 
-class Contents:
-    """Segments of record contents, with what the closer look needs of each record."""
+def _merge(shards: int, step: int):
+    """Joins the shards of two segments whose numbers agree modulo ``step`` and cuts them into ``shards``."""
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        whole = [Segment.read(r) for _, r in pdf.iterrows()]
+        out = []
+        for new in range(int(key[0]), shards, step):
+            parts = [p for s in whole if (keep := s.place % shards == new).any() for p in [s.part(keep)]]
+            while len(parts) > 1:
+                parts = [parts[i].merged(parts[i + 1]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+            out += [p.row(new) for p in parts]
+        return pd.DataFrame(out, columns=["shard", *Segment.FIELDS])
 
-    def __init__(self) -> None:
-        self.segments = Segments()
-        self.body: list[str] = []
-        self.value: list[float] = []
-        self.first: list[tuple[int, int]] = []
-        self.key: list[str] = []
+    return run
 
-    def accept(self, pdf: pd.DataFrame) -> np.ndarray:
-        """Whether each record of a batch is the same as an older one or an earlier one of the batch; appends all.
 
-        pdf: chave, palavras, valor, ordem, linha_id, one row for each distinct text of the batch.
+class History:
+    """Everything accepted so far, as immutable segments below ``path`` (a folder that all executors reach).
+
+    ``_segments.json`` names the segments that count; it is moved into place in one step after a segment is complete, so
+    a run that fails leaves the history as it was. One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, shard_rows: int = SHARD_ROWS):
+        self.spark, self.path, self.shard_rows = spark, path.rstrip("/"), shard_rows
+
+    def segments(self) -> list[dict]:
+        """name, rows and shards of each segment, oldest first."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_segments.json")
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        stream = fs.open(p)
+        try:
+            return json.loads(bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode())
+        finally:
+            stream.close()
+
+    def _commit(self, segments: list[dict]) -> None:
+        tmp = f"{self.path}/_{uuid.uuid4().hex}.json"
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(tmp)
+        out = p.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(p, True)
+        out.write(bytearray(json.dumps(segments).encode()))
+        out.close()
+        swap_into_place(self.spark, tmp, f"{self.path}/_segments.json")
+
+    def _read(self, s: dict) -> DataFrame:
+        return self.spark.read.schema(Segment.SCHEMA).parquet(f"{self.path}/{s['name']}/shards")
+
+    def _hot(self, s: dict) -> DataFrame | None:
+        return self.spark.read.schema("base bigint, pieces int").parquet(f"{self.path}/{s['name']}/hot") if s["hot"] else None
+
+    def _placed(self, texts: DataFrame, s: dict, hot: DataFrame | None, every: bool) -> DataFrame:
+        """Texts (with base: the hash of leading fields and block) with the place they are stored at, or all they may be at."""
+        if hot is None:
+            return texts.withColumn("place", F.col("base"))
+        t = texts.join(hot, "base", "left")
+        piece = F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)) if every else F.pmod(F.xxhash64("palavras", "centavos"), F.coalesce("pieces", F.lit(1))).cast("int")
+        return t.withColumn("piece", piece).withColumn("place", F.when(F.col("piece") > 0, F.col("base").bitwiseXOR(F.xxhash64("piece"))).otherwise(F.col("base"))).drop("pieces", "piece")
+
+    def merge(self) -> None:
+        """Merge the last segments while the newer one has grown to the size of the one before."""
+        segs = self.segments()
+        while len(segs) > 1 and segs[-1]["rows"] >= segs[-2]["rows"]:
+            a, b = segs[-2:]
+            rows = a["rows"] + b["rows"]
+            new = {"name": f"s-{uuid.uuid4().hex}", "rows": rows, "shards": self._shards(rows), "hot": a["hot"] or b["hot"]}
+            step = min(a["shards"], b["shards"], new["shards"])
+            both = self._read(a).unionByName(self._read(b)).withColumn("__g", F.pmod("shard", F.lit(step)))
+            both.groupBy("__g").applyInPandas(_merge(new["shards"], step), Segment.SCHEMA).write.parquet(f"{self.path}/{new['name']}/shards")
+            if new["hot"]:
+                hot = [h for h in (self._hot(a), self._hot(b)) if h is not None]
+                (hot[0] if len(hot) == 1 else hot[0].unionByName(hot[1])).groupBy("base").agg(F.max("pieces").alias("pieces")).write.parquet(f"{self.path}/{new['name']}/hot")
+            segs = [*segs[:-2], new]
+            self._commit(segs)
+            for old in (a, b):
+                p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{old['name']}")
+                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def _shards(self, rows: int) -> int:
+        return 1 << max(0, (-(-rows // self.shard_rows) - 1).bit_length())
+
+    def accept(self, rows: DataFrame, loads: DataFrame) -> DataFrame:
+        """(linha_id): rows of a new batch that repeat an accepted row or an earlier one of the batch; appends the batch.
+
+        rows: commitments as received; loads: the register of loads. Only segments are read of what was accepted before.
+        Taking a batch again finds what it found before and changes no later answer.
         """
-        base = len(self.body)
-        self.key += pdf["chave"].tolist()
-        self.body += pdf["palavras"].tolist()
-        self.value += pdf["valor"].tolist()
-        self.first += list(zip(pdf["ordem"].tolist(), pdf["linha_id"].tolist()))
-        texts, record, size = _chunks(pdf["chave"], pdf["palavras"])
-        # the batch is searched too: a record may repeat an earlier one of its own load
-        self.segments.append(texts, record + base)
-        found = np.zeros(len(pdf), bool)
-        heads = np.array([k.encode() for k in pdf["chave"]], dtype="S16")
-        several = np.zeros(len(pdf), bool)
-        words = np.bincount(record, minlength=len(pdf))
-        stored = np.zeros(len(pdf), "int64")
-        for lo, hi, _ in self.segments.beginning(heads):
-            stored += hi - lo
-        several |= stored > words  # the digest is also in another record
-        pick = np.flatnonzero(several[record])
-        if not len(pick):
-            return found
-        # words are sought by their first letters: abbreviations begin alike
-        sought = np.array([x[: 16 + 3] for x in texts[pick].tolist()], dtype=f"S{WIDE}")
-        ranges = self.segments.beginning(sought)
-        total = np.bincount(record, weights=size, minlength=len(pdf))
-        cover: dict[int, Counter] = {}
-        for n, at in enumerate(pick):
-            me = cover.setdefault(int(record[at]), Counter())
-            for lo, hi, owner in ranges:
-                for r in set(owner[lo[n] : hi[n]].tolist()):
-                    me[r] += int(size[at])
-        for i, c in cover.items():
-            mine = self.first[base + i]
-            for r in sorted(c, key=lambda r: (-c[r], self.first[r])):
-                if c[r] < COVERAGE * total[i]:
-                    break
-                if r != base + i and self.first[r] < mine and abs(self.value[r] - self.value[base + i]) <= 0.01 + 1e-6 and alike(self.body[base + i].split(), self.body[r].split()) >= ALIKE:
-                    found[i] = True
-                    break
-        return found
+        return self.take(written(prepared(rows.filter("linha_id is not null"), loads), "increments"))
+
+    def take(self, p: DataFrame) -> DataFrame:
+        """``accept`` for a batch that ``prepared`` has made."""
+        self.merge()
+        block = F.shiftright("centavos", BLOCK_BITS)
+        e = written(entries(p).withColumn("base", F.xxhash64("cabeca", block)), "increment-texts")
+        n = e.count()
+        none = self.spark.createDataFrame([], p.select("linha_id").schema)
+        if not n:
+            return none
+        new = {"name": f"s-{uuid.uuid4().hex}", "rows": n, "shards": self._shards(n), "hot": False}
+        half = max(1, self.shard_rows // 2)
+        if n > half:
+            # at most 2 n / shard_rows of them
+            many = e.groupBy("base").agg(F.count("*").alias("n")).filter(F.col("n") > half).select("base", F.ceil(F.col("n") / half).cast("int").alias("pieces"))
+            many.write.parquet(f"{self.path}/{new['name']}/hot")
+            new["hot"] = not self._hot(new | {"hot": True}).isEmpty()
+        stored = self._placed(e, new, self._hot(new), every=False)
+        stored.withColumn("shard", F.pmod("place", F.lit(new["shards"])).cast("int")).groupBy("shard").applyInPandas(_build, Segment.SCHEMA).write.parquet(f"{self.path}/{new['name']}/shards")
+        segs = [*self.segments(), new]
+        # a value at the edge of a block is sought in the next one too
+        near = F.array_distinct(F.transform(F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)]), lambda i: F.shiftright(F.col("centavos") + i, BLOCK_BITS)))
+        blocks = F.when(F.col("cabeca").startswith("="), near).otherwise(F.array(block))
+        asked = e.drop("base", "n").withColumn("__b", F.explode(blocks)).withColumn("base", F.xxhash64("cabeca", "__b")).drop("__b")
+        left = right = None
+        for i, s in enumerate(segs):
+            q = self._placed(asked, s, self._hot(s), every=True).select(F.lit(i).alias("segment"), F.pmod("place", F.lit(s["shards"])).cast("int").alias("shard"), "cabeca", "centavos", "palavras", "ordem", "linha_id", "valor")
+            b = self._read(s).withColumn("segment", F.lit(i))
+            left, right = (q, b) if left is None else (left.unionByName(q), right.unionByName(b))
+        hits = left.groupBy("segment", "shard").cogroup(right.groupBy("segment", "shard")).applyInPandas(_search, "cabeca string, centavos bigint, palavras string")
+        seen = written(hits, "increment-hits").distinct().withColumn("visto", F.lit(True))
+        on = ["cabeca", "centavos", "palavras"]
+        groups = e.join(seen, on, "left").withColumn("visto", F.coalesce("visto", F.lit(False))).filter("visto or n > 1")
+        groups = groups.select(*on, "visto", F.struct("ordem", "linha_id").alias("__first"), "n")
+        out = matching_groups(texts(p).drop("valor"), groups, on, "n").filter(F.col("visto") | (F.col("__first") < F.struct("ordem", "linha_id"))).select("linha_id").distinct()
+        out = written(out, "increment-found")
+        self._commit(segs)
+        return out
 
 
 def repeated(rows: DataFrame, loads: DataFrame, shard_rows: int = SHARD_ROWS, batches: int = BATCHES) -> DataFrame:
@@ -254,45 +458,19 @@ def repeated(rows: DataFrame, loads: DataFrame, shard_rows: int = SHARD_ROWS, ba
 
     Order: day of the load, carga_id, linha_id. The same commitment: equal ano and id (as whole number); or equal
     codigoug, codigocredor, codprocesso (all known), day and valor (known, up to a cent), with a description that was
-    only typed otherwise and holds the same numbers. The history is taken batch by batch (runs of whole loads); each
-    batch is sought in the segments of those before it. Two missing descriptions agree. Rows with a null linha_id are left out; of rows that share a
-    linha_id within a load none is later. Empty tables give no rows.
+    only typed otherwise and holds the same numbers. The whole history goes through ``History``, in ``batches`` runs of
+    whole loads; the result doesn't depend on the cuts. Two missing descriptions agree. Rows with a null linha_id are
+    left out; of rows that share a linha_id within a load none is later. Empty tables give no rows.
     """
-    p = written(prepared(rows.filter("linha_id is not null"), loads), "increments")
-    cuts = p.approxQuantile("ordem", [i / batches for i in range(1, batches)], 0.01)
-    batch = F.lit(0)
-    for c in sorted(set(cuts)):
-        batch = batch + F.when(F.col("ordem") > F.lit(int(c)), 1).otherwise(0)
-    p = p.withColumn("lote", batch)
-    n = p.count()
-    shards = max(1, -(-n // shard_rows))
-    place = F.struct("ordem", "linha_id")
-
-    ids = p.filter("identidade is not null").groupBy("lote", "identidade").agg(F.min(place).alias("__first"), F.count("*").alias("__n"))
-
-    def by_identity(pdf: pd.DataFrame) -> pd.DataFrame:
-        segments = Segments()
-        out = []
-        for _, g in pdf.sort_values("lote").groupby("lote", sort=True):
-            out.append(g.assign(visto=search_identities(g, segments)))
-        return pd.concat(out)[["lote", "identidade", "visto"]]
-
-    seen = ids.select("lote", "identidade", F.pmod(F.xxhash64("identidade"), F.lit(shards)).alias("__shard")).groupBy("__shard").applyInPandas(by_identity, "lote int, identidade string, visto boolean")
-    groups = ids.join(seen, ["lote", "identidade"]).filter("visto or __n > 1")
-    a = matching_groups(p.filter("identidade is not null").select("lote", "identidade", "ordem", "linha_id"), groups, ["lote", "identidade"], "__n").filter(F.col("visto") | (F.col("__first") < place)).select("linha_id")
-
-    texts = p.filter("chave is not null").groupBy("lote", "chave", "centavos", "palavras").agg(F.min(F.struct("ordem", "linha_id", "valor")).alias("__f"), F.count("*").alias("__n"))
-    entries = texts.select("lote", "chave", "centavos", "palavras", F.col("__f.ordem").alias("ordem"), F.col("__f.linha_id").alias("linha_id"), F.col("__f.valor").alias("valor"), F.pmod(F.xxhash64("chave"), F.lit(shards)).alias("__shard"))
-
-    def by_content(pdf: pd.DataFrame) -> pd.DataFrame:
-        contents = Contents()
-        out = []
-        for _, g in pdf.sort_values(["lote", "ordem", "linha_id"]).groupby("lote", sort=True):
-            out.append(g.assign(visto=contents.accept(g)))
-        return pd.concat(out)[["lote", "chave", "centavos", "palavras", "visto"]]
-
-    alike_ = entries.groupBy("__shard").applyInPandas(by_content, "lote int, chave string, centavos bigint, palavras string, visto boolean")
-    on = ["lote", "chave", "centavos", "palavras"]
-    groups = texts.join(alike_, on).filter("visto or __n > 1")
-    b = matching_groups(p.filter("chave is not null").select(*on, "ordem", "linha_id"), groups, on, "__n").filter(F.col("visto") | (F.struct(F.col("__f.ordem"), F.col("__f.linha_id")) < place)).select("linha_id")
-    return a.unionByName(b).distinct()
+    spark = rows.sparkSession
+    p = prepared(rows.filter("linha_id is not null"), loads)
+    p = written(p, "increments")
+    cuts = sorted(set(p.approxQuantile("ordem", [i / batches for i in range(1, batches)], 0.01))) if batches > 1 else []
+    path = f"{shared_dir(spark)}/increments-{uuid.uuid4().hex}"
+    drop_on_exit(spark, path)  # a query's history isn't kept
+    history, out = History(spark, path, shard_rows), None
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        b = p if lo is None else p.filter(F.col("ordem") > F.lit(int(lo)))
+        found = history.take(b if hi is None else b.filter(F.col("ordem") <= F.lit(int(hi))))
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -1,10 +1,11 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from erario.llm.increments import Segments, alike, day_of, repeated, same_word, whole_number
+from erario.llm.increments import History, Segment, alike, day_of, repeated, same_word, search, whole_number
 
 ROWS = "linha_id bigint, carga_id bigint, id string, ano int, dataemissao string, codigoug string, codigocredor string, codprocesso string, valor double, historico string, lote string, __n string, chave string"
 LOADS = "carga_id bigint, fonte string, data_extracao string, registros bigint, ordem string"
@@ -74,17 +75,84 @@ def test_against_all_pairs(spark):
     assert found(spark, rows, shard_rows=60, batches=3) == sorted(want)
 
 
-def test_segments_merge_logarithmically():
-    s, rng = Segments(), np.random.default_rng(0)
-    stored = []
-    for i in range(64):
-        t = np.array([f"{x:06d}".encode() for x in rng.integers(0, 10**6, 10)], dtype="S40")
-        stored += t.tolist()
-        s.append(t, np.full(10, i))
-    assert len(s.parts) <= 7 and sum(len(p[0]) for p in s.parts) == 640
-    assert s.whole(np.array(stored, dtype="S40")).all() and not s.whole(np.array([b"zz"], dtype="S40")).any()
-    hits = sum(int(hi[0] - lo[0]) for lo, hi, _ in s.beginning(np.array([stored[0][:3]], dtype="S40")))
-    assert hits == sum(x.startswith(stored[0][:3]) for x in stored)
+def segment(rng, n, first=0):
+    words = ["aquisicao", "toner", "papel", "sede", "regional", "de", "para"]
+    bodies = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 6))) for _ in range(n)]
+    heads = [f"={rng.randint(1, 4)}|{rng.randint(1, 3)}|" for _ in range(n)]
+    order = range(first, first + n)
+    return Segment.of(heads, bodies, order, order, [1.0] * n, order), heads, bodies
+
+
+def test_suffix_array_is_sorted_and_merges_like_one_made_at_once():
+    rng = random.Random(3)
+    a, ha, ba = segment(rng, 60)
+    b, hb, bb = segment(rng, 45, 60)
+    one = Segment.of(ha + hb, ba + bb, range(105), range(105), [1.0] * 105, range(105))
+    both = a.merged(b)
+    for s in (one, both):
+        tails = [s.whole[i : s.ends[o]] for i, o in zip(s.suffix, s.owner)]
+        assert tails == sorted(tails)
+        assert sorted(s.suffix.tolist()) == [i for i, c in enumerate(s.whole) if i in set(s.start.tolist()) or (c != 10 and s.whole[i - 1 : i] in (b" ", b"|") and i > s.start[np.searchsorted(s.start, i, "right") - 1] + 4)]
+    assert both.whole == one.whole and sorted(both.suffix) == sorted(one.suffix)
+    back = Segment.read(both.row(0))
+    kept = back.part(np.arange(105) % 3 == 0)
+    assert [kept.body(r) for r in range(35)] == [x.encode() for x in (ba + bb)[::3]]
+    tails = [kept.whole[i : kept.ends[o]] for i, o in zip(kept.suffix, kept.owner)]
+    assert tails == sorted(tails)
+
+
+def test_binary_search_and_coverage_against_all_records():
+    rng = random.Random(5)
+    s, heads, bodies = segment(rng, 80)
+    for p in (b"=1|", b"=4|3|", b"toner", b"papel sede", b"zz"):
+        lo, hi = s.ranges([p])
+        assert hi[0] - lo[0] == sum(s.whole[i : i + 60].startswith(p) for i in s.suffix)
+    cover = s.coverage(b"aquisicao de toner para x", list(range(80)))
+    for r, b in enumerate(bodies):
+        whole = "aquisicao de toner para x".split()
+        longest = {i for i in range(4) for k in range(i + 1, 5) if len(" ".join(whole[i:k])) + 1 >= 8 and f" {' '.join(whole[i:k])} " in f" {b} " for i in range(i, k)}
+        assert cover[r] >= sum(len(whole[i]) for i in longest) and cover[r] <= sum(len(w) for w in whole if w in b.split())
+
+
+def accepted(history, spark, rows, loads):
+    return sorted(r["linha_id"] for r in history.accept(spark.createDataFrame(rows, ROWS), loads).collect())
+
+
+def test_batches_are_held_against_segments_only(spark, tmp_path):
+    rng = random.Random(8)
+    loads = spark.createDataFrame([(c, "empenhos", f"2026-01-{c:02d}", None, "k") for c in range(1, 9)], LOADS)
+    rows = [row(i, 1 + i // 30, id=rng.choice([None, str(rng.randint(1, 200))]), ug=str(rng.randint(1, 4)), v=rng.choice([10.23, 10.24, 10.25]), h=rng.choice([TEXT, TEXT.upper(), TEXT.replace("toner", "tonre"), "Despesa com diárias"])) for i in range(240)]
+    history, got = History(spark, f"file://{tmp_path}/h", shard_rows=20), []
+    for c in range(8):
+        at = f"file://{tmp_path}/batch"
+        spark.createDataFrame(rows[30 * c : 30 * c + 30], ROWS).write.mode("overwrite").parquet(at)  # the batch before is gone
+        got += [r["linha_id"] for r in history.accept(spark.read.parquet(at), loads).collect()]
+    whole = sorted(r["linha_id"] for r in repeated(spark.createDataFrame(rows, ROWS), loads, batches=1).collect())
+    assert sorted(got) == whole
+    segments = history.segments()
+    assert len(segments) <= 5 and sum(s["rows"] for s in segments) <= 480
+    assert max(s["rows"] for s in segments) > 100  # like sizes were merged
+    again = accepted(history, spark, rows[210:], loads)
+    assert again == sorted(x for x in got if x >= 210)
+
+
+def test_leading_fields_of_many_texts_are_spread(spark, tmp_path):
+    from itertools import product
+
+    letters = "bcdfg"
+    rows = [row(i, 1, id="", h=f"Compra {a * 9} {b * 9} {c * 9}, parcela 2/12") for i, (a, b, c) in enumerate(product(letters, repeat=3))]
+    loads = spark.createDataFrame([(1, "e", "2026-01-01", 1, "k"), (2, "e", "2026-01-02", 1, "k")], LOADS)
+    history = History(spark, f"file://{tmp_path}/h", shard_rows=20)
+    first = accepted(history, spark, rows, loads)
+    assert history.segments()[0]["hot"] and first == accepted(History(spark, f"file://{tmp_path}/one", 10**6), spark, rows, loads)
+    later = [row(1000 + i, 2, id="", v=10.01, h=r[9].upper()) for i, r in enumerate(rows)]
+    assert accepted(history, spark, later, loads) == [r[0] for r in later]
+
+
+def test_an_earlier_record_only():
+    s = Segment.of(["=1|10|", "#5|"], ["um dois", ""], [2, 2], [7, 8], [0.1, 0.0], [0, 0])
+    ask = pd.DataFrame([("=1", 10, "um dois", 2, 7, 0.1), ("=1", 11, "dois um", 3, 1, 0.11), ("=1", 9, "um dois", 1, 9, 0.09), ("#5", 0, "", 2, 9, 0.0), ("#5", 0, "", 2, 8, 0.0)], columns=["cabeca", "centavos", "palavras", "ordem", "linha_id", "valor"])
+    assert search(ask, s).tolist() == [False, True, False, True, False]
 
 
 @pytest.mark.parametrize("a,b,want", [("toner", "tonre", True), ("pgto", "pagamento", True), ("p", "para", True), ("comp", "competencia", True), ("toner", "tinta", False), ("agua", "energia", False)])
