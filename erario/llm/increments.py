@@ -20,6 +20,8 @@ brings to a shard; leading fields with more distinct texts than half a shard are
 
 from __future__ import annotations
 
+import bisect
+import functools
 import json
 import uuid
 from collections import Counter
@@ -36,9 +38,9 @@ from erario.operators.ranges import matching_groups
 from erario.session import drop_on_exit, shared_dir, written
 
 #: Texts that a shard holds on average, and batches that ``repeated`` cuts a whole history into (runs of whole loads).
-SHARD_ROWS, BATCHES = 20_000, 4
-#: Bytes by which suffixes are ordered; longer leading fields are stored as a digest.
-WIDE, LONGEST = 128, 96
+SHARD_ROWS, BATCHES = 20_000, 3
+#: Bytes by which the suffixes at records and at words are ordered; longer leading fields are stored as a digest.
+WIDE, NARROW, LONGEST = 128, 24, 96
 #: Letters that a match of a description has at least, and the share of two descriptions that must agree.
 LEAST, ALIKE = 8, 0.58
 #: Bits of the block of values (in cents) that share a shard.
@@ -50,8 +52,10 @@ _ACCENTS = "áàâãäåéèêëíìîïóòôõöúùûüçñ", "aaaaaaeeeeiiii
 class Segment:
     """Suffix array over the concatenated texts of records.
 
-    text: all texts; start: where each record's text begins; suffix: places where a record or a word begins, sorted by
-    the WIDE bytes of the record that follow; owner: the record of each such place; ordem, linha, valor, place: of each record.
+    text: all texts; start: where each record's text begins; suffix: places where a record or a word begins, in the order
+    of what follows up to the record's end; owner: the record of each such place; ordem, linha, valor, place: of each
+    record. Texts begin with a sign that sorts before all letters, so the records come first in the suffix array. They are
+    ordered by WIDE bytes, words by NARROW ones.
     """
 
     FIELDS = {"text": "u1", "start": "i4", "suffix": "i4", "owner": "i4", "ordem": "i8", "linha": "i8", "valor": "f8", "place": "i8"}
@@ -59,13 +63,27 @@ class Segment:
 
     def __init__(self, **arrays: np.ndarray):
         self.__dict__.update(arrays)
-        padded = np.concatenate([self.text, np.zeros(WIDE, "u1")])
-        rows = np.lib.stride_tricks.sliding_window_view(padded, WIDE)[self.suffix] if len(self.suffix) else np.zeros((0, WIDE), "u1")
         self.whole = self.text.tobytes()
         self.ends = np.append(self.start[1:], len(self.text))
-        # what follows ends with the record, so the order is the same in whatever text the record stands
-        rows = np.where(np.arange(WIDE) < (self.ends[self.owner] - self.suffix)[:, None], rows, 0).astype("u1")
-        self.slices = rows.view(f"S{WIDE}").ravel()
+        self.records = len(self.start)
+
+    def slices(self, suffix: np.ndarray, owner: np.ndarray, wide: int) -> np.ndarray:
+        """What follows each place, up to ``wide`` bytes and the record's end."""
+        if not len(suffix):
+            return np.zeros(0, f"S{wide}")
+        rows = np.lib.stride_tricks.sliding_window_view(np.concatenate([self.text, np.zeros(wide, "u1")]), wide)[suffix]
+        left = self.ends[owner] - suffix
+        short = np.flatnonzero(left < wide)
+        rows[short] *= np.arange(wide) < left[short, None]
+        return rows.view(f"S{wide}").ravel()
+
+    @functools.cached_property
+    def heads(self) -> np.ndarray:
+        return self.slices(self.suffix[: self.records], self.owner[: self.records], WIDE)
+
+    @functools.cached_property
+    def words(self) -> np.ndarray:
+        return self.slices(self.suffix[self.records :], self.owner[self.records :], NARROW)
 
     @classmethod
     def of(cls, heads: Iterable[str], bodies: Iterable[str], ordem, linha, valor, place) -> Segment:
@@ -80,12 +98,10 @@ class Segment:
         inner = blank > body[of_blank] if len(blank) else np.zeros(0, bool)
         worded = np.array([len(b) > 1 for b in bs], bool)
         n = np.arange(len(hs))
-        suffix = np.concatenate([start, body[worded], blank[inner]]).astype("i4")
-        owner = np.concatenate([n, n[worded], of_blank[inner]]).astype("i4")
-        out = cls(text=text, start=start, suffix=suffix, owner=owner, ordem=np.asarray(ordem, "i8"), linha=np.asarray(linha, "i8"), valor=np.asarray(valor, "f8"), place=np.asarray(place, "i8"))
-        order = np.argsort(out.slices, kind="stable")
-        out.suffix, out.owner, out.slices = suffix[order], owner[order], out.slices[order]
-        return out
+        word, of_word = np.concatenate([body[worded], blank[inner]]), np.concatenate([n[worded], of_blank[inner]])
+        out = cls(text=text, start=start, suffix=start, owner=n, ordem=np.asarray(ordem, "i8"), linha=np.asarray(linha, "i8"), valor=np.asarray(valor, "f8"), place=np.asarray(place, "i8"))
+        a, b = np.argsort(out.heads, kind="stable"), np.argsort(out.slices(word, of_word, NARROW), kind="stable")
+        return cls(**{f: getattr(out, f) for f in cls.FIELDS} | {"suffix": np.concatenate([start[a], word[b]]).astype("i4"), "owner": np.concatenate([n[a], of_word[b]]).astype("i4")})
 
     @classmethod
     def read(cls, row) -> Segment:
@@ -106,18 +122,29 @@ class Segment:
 
     def merged(self, other: Segment) -> Segment:
         """Both texts in one; the sorted suffixes are interleaved, not sorted again."""
-        at = np.searchsorted(self.slices, other.slices, "right") + np.arange(len(other.slices))
-        mine = np.ones(len(self.suffix) + len(other.suffix), bool)
-        mine[at] = False
-        suffix, owner = np.empty(len(mine), "i4"), np.empty(len(mine), "i4")
-        suffix[mine], suffix[at] = self.suffix, other.suffix + len(self.text)
-        owner[mine], owner[at] = self.owner, other.owner + len(self.start)
+        suffix, owner = [], []
+        for mine, its, lo, hi in ((self.heads, other.heads, slice(0, self.records), slice(0, other.records)), (self.words, other.words, slice(self.records, None), slice(other.records, None))):
+            at = np.searchsorted(mine, its, "right") + np.arange(len(its))
+            old = np.ones(len(mine) + len(its), bool)
+            old[at] = False
+            s, o = np.empty(len(old), "i4"), np.empty(len(old), "i4")
+            s[old], s[at] = self.suffix[lo], other.suffix[hi] + len(self.text)
+            o[old], o[at] = self.owner[lo], other.owner[hi] + self.records
+            suffix.append(s)
+            owner.append(o)
         both = lambda f: np.concatenate([getattr(self, f), getattr(other, f)])
-        return Segment(text=both("text"), start=np.concatenate([self.start, other.start + len(self.text)]).astype("i4"), suffix=suffix, owner=owner, ordem=both("ordem"), linha=both("linha"), valor=both("valor"), place=both("place"))
+        return Segment(text=both("text"), start=np.concatenate([self.start, other.start + len(self.text)]).astype("i4"), suffix=np.concatenate(suffix), owner=np.concatenate(owner), ordem=both("ordem"), linha=both("linha"), valor=both("valor"), place=both("place"))
+
+    def beginning(self, prefixes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each prefix the range of records, in the suffix array, that begin with it."""
+        return np.searchsorted(self.heads, np.array(prefixes, f"S{WIDE + 1}"), "left"), np.searchsorted(self.heads, np.array([p + b"\xff" for p in prefixes], f"S{WIDE + 1}"), "left")
 
-    def ranges(self, prefixes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Of each prefix the range of suffixes that begin with it."""
-        return np.searchsorted(self.slices, np.array(prefixes, f"S{WIDE + 1}"), "left"), np.searchsorted(self.slices, np.array([p + b"\xff" for p in prefixes], f"S{WIDE + 1}"), "left")
+    def holding(self, part: bytes) -> tuple[int, int]:
+        """The range of the suffix array whose words begin with ``part`` (up to NARROW bytes)."""
+        at = lambda k: self.whole[self.suffix[k] : min(self.suffix[k] + len(part), self.ends[self.owner[k]])]
+        places = range(self.records, len(self.suffix))
+        lo = bisect.bisect_left(places, part, key=at)
+        return self.records + lo, self.records + bisect.bisect_right(places, part, lo=lo, key=at)
 
     def body(self, record: int) -> bytes:
         return self.whole[self.start[record] : self.ends[record]].rsplit(b"|", 1)[-1].rstrip(b"\n")
@@ -134,17 +161,16 @@ class Segment:
         wanted = np.zeros(len(self.start), bool)
         wanted[candidates] = True
         covered: dict[int, set[int]] = {r: set() for r in candidates}
-        if sought:
-            los, his = self.ranges([x for _, x in sought])
-            for (j, _), lo, hi in zip(sought, los, his):
-                for k in lo + np.flatnonzero(wanted[self.owner[lo:hi]]):
-                    here = self.suffix[k]
-                    there = self.whole[here : here + len(text) - j]
-                    mine = text[j:]
-                    n = len(mine) if mine == there else next((i for i, (x, y) in enumerate(zip(mine, there)) if x != y), min(len(mine), len(there)))
-                    # whole words only: a word ends there too
-                    end = j + n - (there[n : n + 1] not in (b" ", b"\n", b""))
-                    covered[int(self.owner[k])].update(i for i, b in enumerate(begin) if b >= j and b + len(words[i]) <= end)
+        for j, part in sought:
+            lo, hi = self.holding(part)
+            for k in lo + np.flatnonzero(wanted[self.owner[lo:hi]]):
+                here = self.suffix[k]
+                there = self.whole[here : here + len(text) - j]
+                mine = text[j:]
+                n = len(mine) if mine == there else next((i for i, (x, y) in enumerate(zip(mine, there)) if x != y), min(len(mine), len(there)))
+                # whole words only: a word ends there too
+                end = j + n - (there[n : n + 1] not in (b" ", b"\n", b""))
+                covered[int(self.owner[k])].update(i for i, b in enumerate(begin) if b >= j and b + len(words[i]) <= end)
         return {r: sum(len(words[i]) for i in c) for r, c in covered.items()}
 
 
@@ -209,8 +235,8 @@ def whole_number(c: Column) -> Column:
     Blanks around it, zeros before it, points between groups of three digits and zero decimals don't count.
     """
     t = stripped(c)
-    plain = F.when(t.rlike(r"^[0-9]{1,3}(\.[0-9]{3})+(,0+)?$"), F.replace(F.regexp_replace(t, r",0+$", ""), F.lit("."))).when(t.rlike(r"^[0-9]+([.,]0+)?$"), F.regexp_replace(t, r"[.,]0+$", ""))
-    n = F.regexp_replace(plain, "^0+", "")
+    plain = F.when(t.rlike(r"^[0-9]+$"), t).when(t.rlike(r"^[0-9]{1,3}(\.[0-9]{3})+(,0+)?$"), F.replace(F.regexp_replace(t, r",0+$", ""), F.lit("."))).when(t.rlike(r"^[0-9]+[.,]0+$"), F.regexp_replace(t, r"[.,]0+$", ""))
+    n = F.ltrim(plain, F.lit("0"))
     return F.when((n != "") & (F.length(n) <= 18), n.try_cast("bigint"))
 
 
@@ -222,8 +248,9 @@ def day_of(c: Column) -> Column:
 
 
 def _words(c: Column) -> Column:
-    low = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"\p{M}+", "")
-    return F.trim(F.regexp_replace(F.translate(low, *_ACCENTS), "[^a-z]+", " "))
+    low = F.translate(F.lower(F.coalesce(c, F.lit(""))), *_ACCENTS)
+    # combining marks, if any, stand within a word
+    return F.trim(F.regexp_replace(F.when(low.rlike(r"\p{M}"), F.regexp_replace(low, r"\p{M}+", "")).otherwise(low), "[^a-z]+", " "))
 
 
 def prepared(rows: DataFrame, loads: DataFrame) -> DataFrame:
@@ -238,18 +265,20 @@ def prepared(rows: DataFrame, loads: DataFrame) -> DataFrame:
     sizes = rows.groupBy("carga_id").agg(F.count("*").alias("__n")).join(days, "carga_id", "left")
     with_day = matching_groups(rows.filter("carga_id is not null"), sizes.filter("carga_id is not null"), ["carga_id"], "__n")
     with_day = with_day.unionByName(rows.filter("carga_id is null"), allowMissingColumns=True)
-    number = whole_number(F.col("id"))
-    known = [F.when(stripped(F.col(c)) != "", stripped(F.col(c))) for c in ("codigoug", "codigocredor", "codprocesso")]
-    cents = F.round(F.col("valor").cast("double") * 100).try_cast("bigint")
-    numbers = F.array_join(F.array_sort(F.transform(F.regexp_extract_all(F.coalesce("historico", F.lit("")), F.lit(r"(\d+)"), 1), lambda x: F.regexp_replace(x, "^0+(?=.)", ""))), ",")
-    day = day_of(F.col("dataemissao"))
-    all_known = known[0].isNotNull() & known[1].isNotNull() & known[2].isNotNull() & day.isNotNull() & cents.isNotNull()
-    text = F.concat_ws("|", *known, day.cast("string"), numbers)
-    key = F.when(all_known, F.when(F.octet_length(text) > LONGEST, F.md5(text)).otherwise(text))
-    load = F.coalesce(F.date_format("__dia", "yyyyMMdd").try_cast("bigint"), F.lit(99999999)) * 10**10 + F.coalesce(F.col("carga_id"), F.lit(10**10 - 1))
-    return with_day.select(
-        "linha_id", load.alias("ordem"), F.when(number.isNotNull() & F.col("ano").isNotNull(), F.concat_ws(":", "ano", number)).alias("identidade"),
-        key.alias("chave"), F.when(all_known, cents).alias("centavos"), F.when(all_known, _words(F.col("historico"))).alias("palavras"), F.when(all_known, F.col("valor").cast("double")).alias("valor"),
+    # in steps, so that what is used more than once is made once
+    first = with_day.select(
+        "linha_id", "ano", "historico", stripped(F.col("id")).alias("__id"), *[stripped(F.col(c)).alias(f"__k{i}") for i, c in enumerate(("codigoug", "codigocredor", "codprocesso"))],
+        day_of(F.col("dataemissao")).alias("__day"), F.col("valor").cast("double").alias("valor"), F.round(F.col("valor").cast("double") * 100).try_cast("bigint").alias("centavos"),
+        (F.coalesce(F.date_format("__dia", "yyyyMMdd").try_cast("bigint"), F.lit(99999999)) * 10**10 + F.coalesce(F.col("carga_id"), F.lit(10**10 - 1))).alias("ordem"),
+    )
+    known = (F.col("__k0") != "") & (F.col("__k1") != "") & (F.col("__k2") != "") & F.col("__day").isNotNull() & F.col("centavos").isNotNull()
+    second = first.withColumns({"__known": F.coalesce(known, F.lit(False)), "__number": whole_number(F.col("__id"))})
+    numbers = F.array_join(F.array_sort(F.transform(F.regexp_extract_all(F.coalesce("historico", F.lit("")), F.lit(r"(\d+)"), 1), lambda x: F.coalesce(F.nullif(F.ltrim(x, F.lit("0")), F.lit("")), F.lit("0")))), ",")
+    third = second.withColumn("__text", F.when(F.col("__known"), F.concat_ws("|", "__k0", "__k1", "__k2", F.col("__day").cast("string"), numbers)))
+    return third.select(
+        "linha_id", "ordem", F.when(F.col("__number").isNotNull() & F.col("ano").isNotNull(), F.concat_ws(":", "ano", "__number")).alias("identidade"),
+        F.when(F.octet_length("__text") > LONGEST, F.md5("__text")).otherwise(F.col("__text")).alias("chave"),
+        F.when(F.col("__known"), F.col("centavos")).alias("centavos"), F.when(F.col("__known"), _words(F.col("historico"))).alias("palavras"), F.when(F.col("__known"), F.col("valor")).alias("valor"),
     )
 
 
@@ -282,22 +311,26 @@ def search(asked: pd.DataFrame, stored: Segment) -> np.ndarray:
     asked: cabeca, centavos, palavras, ordem, linha_id, valor.
     """
     found = np.zeros(len(asked), bool)
-    content = np.array([h[0] == "=" for h in asked["cabeca"]], bool)
-    ordem, linha, valor = (asked[c].to_numpy() for c in ("ordem", "linha_id", "valor"))
+    heads = asked["cabeca"].tolist()
+    content = np.array([h[0] == "=" for h in heads], bool)
+    ordem, linha, valor, cents = (asked[c].to_numpy() for c in ("ordem", "linha_id", "valor", "centavos"))
     cands: dict[int, list[int]] = {}
-    for step in (0, -1, 1):  # values may differ by a cent
-        pick = np.arange(len(asked)) if step == 0 else np.flatnonzero(content)
-        if not len(pick):
-            continue
-        some = asked.iloc[pick]
-        los, his = stored.ranges([x.encode() for x in _heads(some["cabeca"], some["centavos"] + step)])
-        for i, lo, hi in zip(pick[his > los], los[his > los], his[his > los]):
-            r = stored.owner[lo:hi]
-            ok = (stored.ordem[r] < ordem[i]) | (stored.ordem[r] == ordem[i]) & (stored.linha[r] < linha[i])
-            if content[i]:
-                ok &= np.abs(stored.valor[r] - valor[i]) <= 0.01 + 1e-6
-            if ok.any():
-                cands.setdefault(int(i), []).extend(r[ok].tolist())
+
+    def candidates(i: int, lo: int, hi: int) -> None:
+        r = stored.owner[lo:hi]
+        ok = (stored.ordem[r] < ordem[i]) | (stored.ordem[r] == ordem[i]) & (stored.linha[r] < linha[i])
+        if content[i]:
+            ok &= np.abs(stored.valor[r] - valor[i]) <= 0.01 + 1e-6
+        if ok.any():
+            cands.setdefault(i, []).extend(r[ok].tolist())
+
+    los, his = stored.beginning([f"{h}|".encode() for h in heads])
+    for i in np.flatnonzero(his > los).tolist():
+        if not content[i] or his[i] - los[i] <= 64:
+            candidates(i, los[i], his[i])
+        else:  # fields with many values: only those a cent apart
+            for lo, hi in zip(*stored.beginning([f"{heads[i]}|{cents[i] + step}|".encode() for step in (-1, 0, 1)])):
+                candidates(i, lo, hi)
     bodies = asked["palavras"].tolist()
     for i, rs in cands.items():
         if not content[i]:
