@@ -1,27 +1,31 @@
 """Evaluation texts inside a training corpus, found by latent semantic retrieval and checked word by word.
 
-1. Every text is cut into passages; passages are TF-IDF vectors over hashed words.
+1. Every text becomes numbers of words, once; it is cut into passages, which are TF-IDF vectors over hashed words.
 2. A distributed randomised SVD of the passages of corpus and items gives a latent space: two passes of the form
    sum over partitions of A'(A X), with X random at first and an orthonormal basis of the first result then. Only
    matrices of fixed size (hash width x rank) are gathered.
 3. Every passage is projected and compared with all item passages by cosine, in blocks.
 4. Items that are near enough are aligned with the document by longest common subsequences of their sentences; the
-   item's own words (names, numbers, the answer) decide between the item and a text of the same build.
+   item's own words (names, numbers) decide between the item and a text of the same build. A paraphrase that keeps fewer
+   of its words counts if the item's answer stands beside them.
+5. Of an item with hardly an own word, sentences must stand there nearly whole, and not in so many documents that they
+   are formulas.
 
 The items are the stated query set; they and the latent basis are broadcast, both of fixed size.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,26 +37,38 @@ from erario.session import written
 WIDTH, RANK, PASSAGE, STEP = 1 << 14, 64, 32, 16
 #: Least cosine of a corpus passage to an item passage for the item to be aligned.
 COSINE = 0.5
-#: Rows of the matrix that travel as one block.
-BLOCK = 1024
+#: Rows of the matrix that travel as one block, and tasks among which the parts of a block are added up at first.
+BLOCK, SPREAD = 1024, 64
 #: Words of an item that must stand in the document, and the share of the item's own words among those it should hold.
 LEAST_WORDS, LEAST_OWN, OWN_SHARE = 12, 3, 0.5
-#: Share of the passages from which a word is nobody's name.
+#: Words of an item that do if its answer stands beside them, and how near (words) that is.
+ANSWERED_WORDS, BESIDE = 9, 96
+#: Words that must match of sentences with hardly an own word, and the share of such a sentence.
+PLAIN_WORDS, PLAIN_SHARE = 15, 0.8
+#: Items that one search takes at most: they are held in memory, with the vectors of their passages.
+MOST_ITEMS = 20_000
+#: Share of the passages from which a word is nobody's name, and of the documents from which a sentence is a formula.
 OFTEN = float(np.exp(-6.0))
 
 
 def hashed(words: list[str], memo: dict[str, int]) -> list[int]:
+    """A 64-bit number for each word."""
     out = []
     for w in words:
         h = memo.get(w)
         if h is None:
             if len(memo) > 300_000:
                 memo.clear()
-            h = memo[w] = zlib.crc32(w.encode()) % WIDTH
+            h = memo[w] = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "big", signed=True)
         out.append(h)
     return out
 
 
+def buckets(ids: np.ndarray) -> np.ndarray:
+    """Column of each word's number in the passage vectors."""
+    return (ids & (WIDTH - 1)).astype("int64")
+
+
 def passages(ids: np.ndarray, step: int = STEP) -> list[np.ndarray]:
     """Overlapping runs of PASSAGE words; the last may be shorter, a short text is one passage."""
     last = max(1, -(-max(0, len(ids) - PASSAGE) // step) + 1)
@@ -90,7 +106,7 @@ def weighted(parts: list[np.ndarray], idf: np.ndarray) -> Sparse:
     if not parts:
         return Sparse(np.zeros(0, int), np.zeros(0, int), np.zeros(0, "float32"), 0)
     sizes = np.fromiter(map(len, parts), int, len(parts))
-    keys, n = np.unique(np.repeat(np.arange(len(parts)), sizes) * WIDTH + np.concatenate(parts), return_counts=True)
+    keys, n = np.unique(np.repeat(np.arange(len(parts)), sizes) * WIDTH + buckets(np.concatenate(parts)), return_counts=True)
     row, word = keys // WIDTH, keys % WIDTH
     w = (1 + np.log(n)) * idf[word]
     norm = np.sqrt(np.bincount(row, weights=w * w, minlength=len(parts)))
@@ -105,24 +121,35 @@ def _texts(batch: pa.RecordBatch, name: str) -> list[np.ndarray]:
 
 
 def _summed(df: DataFrame, make) -> np.ndarray:
-    """Sum over the partitions of a matrix of WIDTH rows, gathered in blocks of fixed number and size."""
+    """Sum over the partitions of a matrix of WIDTH rows, gathered in blocks of fixed number and size.
+
+    The parts of a block are added up in SPREAD tasks first, then in one, batch by batch: no task holds more than the
+    blocks that it adds to, and none reads all parts of a block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = make(batches)
         if m is not None:
             m = m.astype("float32")
-            blocks = range(0, WIDTH, BLOCK)
-            yield pa.RecordBatch.from_arrays([pa.array([b // BLOCK for b in blocks], pa.int32()), pa.array([m[b : b + BLOCK].tobytes() for b in blocks], pa.binary())], names=["block", "part"])
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, "float32").astype("float64") for x in pdf["part"])
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "part": [total.tobytes()]})
+            spread = TaskContext.get().partitionId() % SPREAD
+            for b in range(0, WIDTH, BLOCK):
+                yield pa.RecordBatch.from_pydict({"block": pa.array([b // BLOCK], pa.int32()), "spread": pa.array([spread], pa.int32()), "part": pa.array([m[b : b + BLOCK].tobytes()], pa.binary())})
 
-    parts = df.mapInArrow(run, "block int, part binary")
-    got = parts.groupBy("block").applyInPandas(add, "block int, part binary").collect()
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, part in zip(batch.column("block").to_pylist(), batch.column("part").to_pylist()):
+                x = np.frombuffer(part, "float32")
+                total[block] = total[block] + x if block in total else x.astype("float64")
+        for block, x in total.items():
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "spread": pa.array([0], pa.int32()), "part": pa.array([x.astype("float32").tobytes()], pa.binary())})
+
+    schema = "block int, spread int, part binary"
+    parts = df.mapInArrow(run, schema).repartition("block", "spread").mapInArrow(add, schema)
+    got = parts.repartition("block").mapInArrow(add, schema).collect()
     if not got:
         return np.zeros((WIDTH, 0))
-    return np.concatenate([np.frombuffer(r["part"], "float64").reshape(BLOCK, -1) for r in sorted(got, key=lambda r: r["block"])])
+    return np.concatenate([np.frombuffer(r["part"], "float32").reshape(BLOCK, -1).astype("float64") for r in sorted(got, key=lambda r: r["block"])])
 
 
 def latent_space(words: DataFrame, items: list[np.ndarray], rank: int = RANK, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,7 +163,7 @@ def latent_space(words: DataFrame, items: list[np.ndarray], rank: int = RANK, se
         n = np.zeros((WIDTH, 2))
         for batch in batches:
             for ids in _texts(batch, "ids"):
-                for p in passages(ids, PASSAGE):
+                for p in passages(buckets(ids), PASSAGE):
                     n[np.unique(p), 0] += 1
                     n[0, 1] += 1
         return n
@@ -146,7 +173,7 @@ def latent_space(words: DataFrame, items: list[np.ndarray], rank: int = RANK, se
     n = (counts[0, 1] if counts.size else 0) + len(own)
     df = (counts[:, 0] if counts.size else np.zeros(WIDTH)).copy()
     for p in own:
-        df[np.unique(p)] += 1
+        df[np.unique(buckets(p))] += 1
     idf = np.log((1 + n) / (1 + df)).astype("float32")
     wide = rank + 8
     x = np.random.default_rng(seed).standard_normal((WIDTH, wide)).astype("float32")
@@ -187,6 +214,16 @@ class Item:
     word_of: list[list[int]]  # number of the written word that each token belongs to
     own: frozenset[str]
     names: frozenset[str]
+    answer: frozenset[str] = frozenset()  # names and numbers of the answer that the question doesn't hold
+
+    def plain_sentences(self) -> list[int]:
+        """Numbers of the sentences of an item with so few own words that these can't decide; none of other items."""
+        return [] if self.names or len(self.own) >= 2 * LEAST_OWN else list(range(len(self.sentences)))
+
+    def numbered(self) -> Item:
+        """The same with the numbers of words in their place."""
+        f = lambda ws: hashed(list(ws), {})
+        return replace(self, sentences=[f(s) for s in self.sentences], own=frozenset(f(self.own)), names=frozenset(f(self.names)), answer=frozenset(f(self.answer)))
 
 
 _WORD = re.compile(r"\S+")
@@ -222,7 +259,17 @@ class Away:
         self.words = sorted(self.items)
         self.number = {w: i for i, w in enumerate(self.words)}
 
-    def of(self, toks: list[str]) -> list[int]:
+    def numbered(self) -> Away:
+        """The same with the numbers of words in their place."""
+        out = object.__new__(Away)
+        f = lambda ws: hashed(list(ws), {})
+        out.own = {k: set(f(ws)) for k, ws in self.own.items()}
+        out.words = f(self.words)
+        out.items = {h: self.items[w] for h, w in zip(out.words, self.words)}
+        out.number = {h: i for i, h in enumerate(out.words)}
+        return out
+
+    def of(self, toks: list) -> list[int]:
         """Numbers in ``words``, one for each passage (of PASSAGE words, without overlap) and word."""
         out = set()
         for j, w in enumerate(toks):
@@ -257,7 +304,10 @@ def prepare(texts: dict[int, tuple[str, str]], common: frozenset[str]) -> list[I
                 of.append(num)
         used = {x for t in sents for x in t}
         names = used & possible[k] - common
-        out.append(Item(k, sents, of, frozenset(names | {x for x in used if x.isdigit()}), frozenset(names)))
+        own = names | {x for x in used if x.isdigit()}
+        # an answer of common words only, such as the letter of a choice, tells nothing
+        answer = {x for w in _WORD.findall(texts[k][1] or "") for x in tokens(w) if x.isdigit() or (w[:1].isupper() and len(x) > 4 and x not in common)} - set(tokens(texts[k][0]))
+        out.append(Item(k, sents, of, frozenset(own), frozenset(names), frozenset(answer)))
     return out
 
 
@@ -342,10 +392,49 @@ def evidence(item: Item, doc: list[str], places: dict[str, list[int]]) -> tuple[
     return words, hit, due
 
 
+def beside(item: Item, places: dict[str, list[int]]) -> bool:
+    """Whether the whole answer stands in the document, with own words of the item near it."""
+    if not item.answer or any(x not in places for x in item.answer):
+        return False
+    first, *rest = sorted(item.answer, key=lambda x: len(places[x]))
+    own = [places[x] for x in item.own if x in places]
+    for p in places[first]:
+        if all(any(abs(q - p) <= 8 for q in places[x]) for x in rest) and sum(any(abs(q - p) <= BESIDE for q in qs) for qs in own) >= LEAST_OWN:
+            return True
+    return False
+
+
 def leaked(item: Item, doc: list[str], places: dict[str, list[int]]) -> bool:
-    """Whether the document holds the item or a good part of it."""
+    """Whether the document holds the item or a good part of it, as far as its own words tell."""
     words, hit, due = evidence(item, doc, places)
-    return words >= LEAST_WORDS and hit >= LEAST_OWN and hit >= OWN_SHARE * due
+    enough = hit >= LEAST_OWN and hit >= OWN_SHARE * due
+    return enough and (words >= LEAST_WORDS or words >= ANSWERED_WORDS and beside(item, places))
+
+
+def plain_matches(item: Item, doc: list[str], places: dict[str, list[int]]) -> list[tuple[int, int]]:
+    """(sentence, words matched) of the sentences, of an item with hardly an own word, that stand in the document nearly whole.
+
+    A sentence's numbers must all match; of its other words PLAIN_SHARE, in order and close together.
+    """
+    out = []
+    for n in item.plain_sentences():
+        s, num = item.sentences[n], item.word_of[n]
+        held = set(s)
+        if sum(x in places for x in held) < PLAIN_SHARE * len(held) or any(x not in places for x in held & item.own):
+            continue
+        best = 0
+        # every stretch that holds enough different words of the sentence
+        at = sorted((j, x) for x in held for j in places.get(x, ()))
+        for distinct, first in stretches(at, int(1.25 * len(s)) + 2):
+            if distinct < PLAIN_SHARE * len(held):
+                break
+            pairs = common_words(s, doc[first : first + int(1.25 * len(s)) + 3])
+            got = {i for i, _ in pairs}
+            if len(pairs) >= PLAIN_SHARE * len(s) and all(i in got for i, x in enumerate(s) if x in item.own):
+                best = max(best, len({num[i] for i in got}))
+        if best:
+            out.append((n, best))
+    return out
 
 
 def find(documents: DataFrame, items: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -353,26 +442,33 @@ def find(documents: DataFrame, items: DataFrame, cosine: float = COSINE) -> Data
 
     Blank and null texts hold nothing; without items the result is empty. Whole texts are read, in overlapping passages.
     Texts changed in typography, order of sentences or a few words are found; stock formulas, opening words and texts of
-    the same build with other names and numbers are not.
+    the same build with other names and numbers are not. Of an item
+    without names and with few numbers a sentence counts that stands there nearly whole, unless it does in more than OFTEN
+    of the documents, which makes it a formula. Items are a stated query set that the driver holds;
+    more than MOST_ITEMS of them are an error.
     """
     session = documents.sparkSession
     schema = T.StructType([documents.schema["doc_id"], items.schema["item_id"]])
-    asked = {r["item_id"]: (r["enunciado"] or "", r["resposta"] or "") for r in items.select("item_id", "enunciado", "resposta").collect()}  # the query set
+    asked = {r["item_id"]: (r["enunciado"] or "", r["resposta"] or "") for r in items.select("item_id", "enunciado", "resposta").limit(MOST_ITEMS + 1).collect()}  # the query set
+    if len(asked) > MOST_ITEMS:
+        raise ValueError(f"more than {MOST_ITEMS} items; search them in parts")
     asked = {k: x for k, x in asked.items() if k is not None and x[0].strip()}
     if not asked:
         return session.createDataFrame([], schema)
     texts = documents.filter("text is not null and trim(text) <> ''").select("doc_id", "text")
 
-    away = Away(asked)
+    named = Away(asked)
+    away = named.numbered()
+    id_type, item_type = _arrow(documents.schema["doc_id"].dataType), _arrow(items.schema["item_id"].dataType)
 
     def to_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
         for batch in batches:
-            toks = [tokens(x) for x in batch.column("text").to_pylist()]
-            columns = [[hashed(t, memo) for t in toks], [away.of(t) for t in toks]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int32())) for c in columns], names=["ids", "away"])
+            toks = [hashed(tokens(x), memo) for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(id_type), pa.array(toks, pa.list_(pa.int64())), pa.array([away.of(t) for t in toks], pa.list_(pa.int32()))], names=["doc_id", "ids", "away"])
 
-    read = written(texts.select("text").mapInArrow(to_words, "ids array<int>, away array<int>"), "leak-words")
+    words_schema = T.StructType([documents.schema["doc_id"], T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("away", T.ArrayType(T.IntegerType()))])
+    read = written(texts.mapInArrow(to_words, words_schema), "leak-words")
     words = read.select("ids")
     memo: dict[str, int] = {}
     item_words = {k: np.array(hashed(tokens(q), memo), dtype="int64") for k, (q, _) in asked.items()}
@@ -386,22 +482,24 @@ def find(documents: DataFrame, items: DataFrame, cosine: float = COSINE) -> Data
     q = weighted(query, idf).times(basis)
     q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-9)
     # words that are no item's own: those that occur in many passages of the corpus away from the item's other words
-    n = words.filter("size(ids) > 0").agg(F.sum(F.ceil(F.size("ids") / PASSAGE))).first()[0] or 0
+    size = words.filter("size(ids) > 0").agg(F.sum(F.ceil(F.size("ids") / PASSAGE)).alias("n"), F.count("*").alias("docs")).first()
+    n, docs = size["n"] or 0, size["docs"]
     times = read.select(F.explode("away").alias("w")).groupBy("w").count().collect()  # at most the items' words
-    common = frozenset(away.words[r["w"]] for r in times if r["count"] > max(OFTEN * n, 30))
-    shared = session.sparkContext.broadcast((idf, basis, q, np.array(owner), prepare(asked, common)))  # fixed size
+    common = frozenset(named.words[r["w"]] for r in times if r["count"] > max(OFTEN * n, 30))
+    shared = session.sparkContext.broadcast((idf, basis, q, np.array(owner), [x.numbered() for x in prepare(asked, common)]))  # bounded by MOST_ITEMS
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, basis, q, owner, items = shared.value
-        memo: dict[str, int] = {}
+        plain_items = {k for k, x in enumerate(items) if x.plain_sentences()}
+        need = [max(6, min(PLAIN_WORDS, sum(len(set(x)) for x in item.word_of))) for item in items]
         for batch in batches:
             ids = batch.column("doc_id")
-            all_texts = batch.column("text").to_pylist()
-            for lo in range(0, len(all_texts), 200):
-                toks = [tokens(x) for x in all_texts[lo : lo + 200]]
+            all_words = _texts(batch, "ids")
+            for lo in range(0, len(all_words), 200):
+                toks = all_words[lo : lo + 200]
                 parts, of = [], []
                 for d, t in enumerate(toks):
-                    for p in passages(np.array(hashed(t, memo), dtype="int64")):
+                    for p in passages(t):
                         parts.append(p)
                         of.append(d)
                 if not parts:
@@ -413,18 +511,34 @@ def find(documents: DataFrame, items: DataFrame, cosine: float = COSINE) -> Data
                     i, j = np.nonzero(v[b : b + 2000] @ q.T >= cosine)
                     for d, k in set(zip(np.array(of)[b + i].tolist(), owner[j].tolist())):
                         near[d].add(k)
-                at, found = [], []
+                at, found, sentence, matched = [], [], [], []
                 for d, ks in sorted(near.items()):
-                    places: dict[str, list[int]] = defaultdict(list)
-                    for j, x in enumerate(toks[d]):
+                    doc = toks[d].tolist()
+                    places: dict[int, list[int]] = defaultdict(list)
+                    for j, x in enumerate(doc):
                         places[x].append(j)
                     for k in sorted(ks):
                         item = items[k]
-                        if sum(x in places for x in item.own) >= (LEAST_OWN if any(x in places for x in item.names) else 2 * LEAST_OWN) and leaked(item, toks[d], places):
+                        got: list[tuple[int, int]] = []
+                        if sum(x in places for x in item.own) >= (LEAST_OWN if any(x in places for x in item.names) else 2 * LEAST_OWN) and leaked(item, doc, places):
+                            got = [(-1, 0)]
+                        elif k in plain_items:
+                            got = plain_matches(item, doc, places)
+                        for s, m in got:
                             at.append(lo + d)
-                            found.append(item.item_id)
+                            found.append(k)
+                            sentence.append(s)
+                            matched.append(m)
                 if at:
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array(found).cast(item_type)], names=["doc_id", "item_id"])
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array([items[k].item_id for k in found], item_type), *[pa.array(x, pa.int32()) for x in (sentence, matched, [need[k] for k in found])]], names=["doc_id", "item_id", "frase", "palavras", "bastam"])
+
+    found = T.StructType([documents.schema["doc_id"], items.schema["item_id"], *[T.StructField(c, T.IntegerType()) for c in ("frase", "palavras", "bastam")]])
+    hits = written(read.select("doc_id", "ids").mapInArrow(search, found), "leak-hits")
+    plain_hits = hits.filter("frase >= 0")
+    often = plain_hits.groupBy("item_id", "frase").agg(F.countDistinct("doc_id").alias("__n")).filter(F.col("__n") > F.lit(max(OFTEN * docs, 30)))
+    kept = plain_hits.join(often, ["item_id", "frase"], "left_anti").groupBy("doc_id", "item_id").agg(F.sum("palavras").alias("__m"), F.first("bastam").alias("__need"))
+    return hits.filter("frase < 0").select("doc_id", "item_id").unionByName(kept.filter("__m >= __need").select("doc_id", "item_id")).distinct()
+
 
-    item_type = pa.int64() if items.schema["item_id"].dataType.typeName() == "long" else pa.string() if items.schema["item_id"].dataType.typeName() == "string" else pa.int32()
-    return texts.mapInArrow(search, schema).distinct()
+def _arrow(t: T.DataType) -> pa.DataType:
+    return pa.int64() if t.typeName() == "long" else pa.string() if t.typeName() == "string" else pa.int32()

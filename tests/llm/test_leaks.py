@@ -99,9 +99,9 @@ QUESTION = "Em qual dos 3 meses o saldo de Pajotrigu fica abaixo de R$ 30.837,17
 
 def test_names_are_told_by_their_own_count(spark):
     def colliding(name):
-        goal = leaks.hashed([name], {})
+        bucket = lambda w: leaks.buckets(np.array(leaks.hashed([w], {})))[0]
         words = ("".join(x) for x in itertools.product("abcdefghij", repeat=7))
-        return next(w for w in words if leaks.hashed([w], {}) == goal)
+        return next(w for w in words if bucket(w) == bucket(name))
 
     frequent = " ".join(map(colliding, ("pajotrigu", "brufubete")))
     texts = [AROUND + QUESTION + " " + AROUND] + [AROUND + f"Contrato {i} {frequent}." for i in range(60)]
@@ -122,3 +122,36 @@ def test_repeated_words_elsewhere_dont_hide_a_passage():
         doc = tokens(AROUND + table + AROUND * 4 + QUESTION + " " + AROUND)
         places = {x: [j for j, y in enumerate(doc) if y == x] for x in doc}
         assert leaks.leaked(item, doc, places)
+
+
+NAMELESS = "explique por que um contador que fecha o balanço antes do fim do exercício deve avisar o conselho e guardar as notas que ainda não foram pagas"
+
+
+def test_items_without_names_or_numbers(spark):
+    words = NAMELESS.split()
+    texts = [AROUND + NAMELESS + ". " + AROUND, AROUND + NAMELESS.upper().replace("BALANÇO", "CAIXA"), AROUND + " ".join(words[:9]), AROUND + " ".join(reversed(words)), NAMELESS]
+    texts += [AROUND + f"Contrato {i}." for i in range(60)]
+    assert run(spark, texts, [(1, NAMELESS, None, "x"), (2, OTHER, "y", "x")]) == [(0, 1), (1, 1), (4, 1)]
+
+
+def test_a_sentence_of_many_documents_is_a_formula(spark):
+    texts = [AROUND + NAMELESS + f". Lote {i}." for i in range(40)] + [AROUND + f"Contrato {i}." for i in range(20)]
+    assert run(spark, texts, [(1, NAMELESS, None, "x")]) == []
+
+
+def test_numbers_of_a_plain_sentence_must_match():
+    item = leaks.prepare({1: (NAMELESS + " no prazo de 45 dias", None)}, frozenset())[0]
+    for days, want in (("45", 1), ("46", 0)):
+        doc = tokens(AROUND + NAMELESS + f" no prazo de {days} dias " + AROUND)
+        assert len(leaks.plain_matches(item, doc, {x: [j for j, y in enumerate(doc) if y == x] for x in doc})) == want
+
+
+def test_the_answer_speaks_for_a_paraphrase():
+    def found(text, answer):
+        item = leaks.prepare({1: (ITEM, answer), 2: (OTHER, "x")}, frozenset())[0]
+        doc = tokens(AROUND + text + " " + AROUND)
+        return leaks.leaked(item, doc, {x: [j for j, y in enumerate(doc) if y == x] for x in doc})
+
+    para = "Pajotrigu recebeu 51 empenhos, anulou 15 pois Brufubete achou R$ 386,78. Respondeu-se R$ 912,44."
+    assert not found(para, "alternativa d") and found(para, "R$ 912,44") and not found(para, "R$ 912,45")
+    assert not found("Respondeu-se R$ 912,44. " + AROUND, "R$ 912,44")
