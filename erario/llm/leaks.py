@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -51,17 +51,19 @@ MOST_ITEMS = 20_000
 OFTEN = float(np.exp(-6.0))
 
 
-def hashed(words: list[str], memo: dict[str, int]) -> list[int]:
-    """A 64-bit number for each word."""
-    out = []
-    for w in words:
-        h = memo.get(w)
-        if h is None:
-            if len(memo) > 300_000:
-                memo.clear()
-            h = memo[w] = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "big", signed=True)
-        out.append(h)
-    return out
+class Numbers(dict):
+    """A 64-bit number for each word, kept for the words met lately."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        n = self[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big", signed=True)
+        return n
+
+
+def hashed(words: Iterable[str], memo: Numbers) -> list[int]:
+    """The number of each word."""
+    return list(map(memo.__getitem__, words))
 
 
 def buckets(ids: np.ndarray) -> np.ndarray:
@@ -222,7 +224,7 @@ class Item:
 
     def numbered(self) -> Item:
         """The same with the numbers of words in their place."""
-        f = lambda ws: hashed(list(ws), {})
+        f = lambda ws: hashed(ws, Numbers())
         return replace(self, sentences=[f(s) for s in self.sentences], own=frozenset(f(self.own)), names=frozenset(f(self.names)), answer=frozenset(f(self.answer)))
 
 
@@ -262,7 +264,7 @@ class Away:
     def numbered(self) -> Away:
         """The same with the numbers of words in their place."""
         out = object.__new__(Away)
-        f = lambda ws: hashed(list(ws), {})
+        f = lambda ws: hashed(ws, Numbers())
         out.own = {k: set(f(ws)) for k, ws in self.own.items()}
         out.words = f(self.words)
         out.items = {h: self.items[w] for h, w in zip(out.words, self.words)}
@@ -462,7 +464,7 @@ def find(documents: DataFrame, items: DataFrame, cosine: float = COSINE) -> Data
     id_type, item_type = _arrow(documents.schema["doc_id"].dataType), _arrow(items.schema["item_id"].dataType)
 
     def to_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, int] = {}
+        memo = Numbers()
         for batch in batches:
             toks = [hashed(tokens(x), memo) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(id_type), pa.array(toks, pa.list_(pa.int64())), pa.array([away.of(t) for t in toks], pa.list_(pa.int32()))], names=["doc_id", "ids", "away"])
@@ -470,7 +472,7 @@ def find(documents: DataFrame, items: DataFrame, cosine: float = COSINE) -> Data
     words_schema = T.StructType([documents.schema["doc_id"], T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("away", T.ArrayType(T.IntegerType()))])
     read = written(texts.mapInArrow(to_words, words_schema), "leak-words")
     words = read.select("ids")
-    memo: dict[str, int] = {}
+    memo = Numbers()
     item_words = {k: np.array(hashed(tokens(q), memo), dtype="int64") for k, (q, _) in asked.items()}
     idf, basis, _ = latent_space(words, list(item_words.values()))
 
@@ -514,13 +516,17 @@ def find(documents: DataFrame, items: DataFrame, cosine: float = COSINE) -> Data
                 at, found, sentence, matched = [], [], [], []
                 for d, ks in sorted(near.items()):
                     doc = toks[d].tolist()
+                    held = set(doc)
+                    enough = {k for k in ks if len(items[k].own & held) >= (2 * LEAST_OWN if items[k].names.isdisjoint(held) else LEAST_OWN)}
+                    if not enough and plain_items.isdisjoint(ks):
+                        continue
                     places: dict[int, list[int]] = defaultdict(list)
                     for j, x in enumerate(doc):
                         places[x].append(j)
-                    for k in sorted(ks):
+                    for k in sorted(enough | (ks & plain_items)):
                         item = items[k]
                         got: list[tuple[int, int]] = []
-                        if sum(x in places for x in item.own) >= (LEAST_OWN if any(x in places for x in item.names) else 2 * LEAST_OWN) and leaked(item, doc, places):
+                        if k in enough and leaked(item, doc, places):
                             got = [(-1, 0)]
                         elif k in plain_items:
                             got = plain_matches(item, doc, places)

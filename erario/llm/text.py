@@ -9,7 +9,7 @@ _BROKEN = re.compile("[Â-ô][\u0080-ÿŒœŠšŸŽžƒˆ˜–-›€™]+")
 _TAG = re.compile(r"<[^<>]{1,40}>")
 _TOKEN = re.compile(r"[a-z]+|[0-9]+")
 _SENTENCE = re.compile(r"(?<=[.!?;:])\s+|\n+|\|")
-_STRIP = {c: None for c in range(0x300, 0x370)}
+_MARKS = re.compile("[\u0300-\u036f]+")
 
 
 def _byte(c: str) -> bytes:
@@ -33,8 +33,8 @@ def repaired(text: str) -> str:
 
 def plain(text: str) -> str:
     """Lower case without accents, markup tags or broken encoding."""
-    text = unicodedata.normalize("NFKD", _TAG.sub("\n", repaired(text)) if "<" in text else repaired(text))
-    return text.translate(_STRIP).lower()
+    text = _TAG.sub("\n", repaired(text)) if "<" in text else repaired(text)
+    return (text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFKD", text))).lower()
 
 
 def tokens(text: str) -> list[str]:
