@@ -1,9 +1,12 @@
 """Variant spellings of the names of persons and organisations.
 
-Names become vectors of character n-grams, weighted by the square of their inverse document frequency so that what few
-names share counts most. A distributed sparse join over the heaviest n-grams of each name proposes all pairs that may
-reach a cosine, and these are scored over the whole vectors. Pairs are then compared part by part, as relatives and sister companies are as near by n-grams as variants are; what holds is
-grouped by average-linkage clustering, in rounds that merge clusters which are each other's nearest.
+1. Names become vectors of character n-grams, weighted by the square of their inverse document frequency so that what few
+   names share counts most. Short forms of given names are learnt from the names themselves and written out in the vectors.
+2. A distributed sparse join finds all pairs that reach a cosine: n-grams of exact prefixes propose candidates, whole
+   vectors give the cosine. ``nearest`` keeps the top n of each name where that is wanted.
+3. Pairs above the threshold are compared part by part, as relatives and sister companies are as near by n-grams as
+   variants are; those that don't fit count as cosine 0.
+4. Average linkage over the cosines groups the names, in rounds that merge clusters which are each other's nearest.
 """
 
 from __future__ import annotations
@@ -21,10 +24,8 @@ from pyspark.sql.window import Window
 from erario.llm.increments import _edits
 from erario.session import written
 
-#: Length of the n-grams, least cosine of a pair, and least mean similarity of two clusters that are merged.
-GRAM, COSINE, LINKAGE = 5, 0.25, 0.5
-#: Norm that the n-grams which a vector leaves out may have: the heaviest ones are kept until the rest falls below it.
-REST = 0.4
+#: Length of the n-grams, least cosine of a pair, and least mean cosine of two clusters that are merged.
+GRAM, COSINE, LINKAGE = 5, 0.25, 0.1
 #: N-grams of fewer names than this weigh alike, so that a slip's own n-grams don't outweigh the words around it.
 SATURATED = 20
 #: A word is common from this share of all names.
@@ -36,17 +37,14 @@ WHOLE = 0.25
 #: Bits of the hash by which the postings of a frequent n-gram are cut into blocks, and the postings in a block.
 BLOCK_ROWS = 2_000
 
-# Legal forms, particles, and short forms of given names.
+#: Names that must have a word and another one in its place for it to be a short form, and the share of the names with either that must.
+SHORT_SEEN, SHORT_SHARE = 2, 0.7
+#: Share of the names from which a word may be a short form, and how much rarer than the full name it must be.
+SHORT_USED, SHORT_RARER = 0.00005, 3
+
+# Legal forms and particles.
 LEGAL = frozenset("ltda limitada epp me eireli sa".split())
 PARTICLES = frozenset("de da do das dos".split())
-NICKNAMES = {
-    "alessandra": "sandra ale lelê", "antonio": "toninho tonho tonico toin", "aurelio": "lelo", "benedito": "dito bene", "carolina": "carol carola",
-    "conceicao": "ceica", "eduardo": "edu dudu duda", "fatima": "fafa", "francisco": "chico chiquinho", "gabriela": "gabi",
-    "isabel": "bel bebel isa", "joao": "joaozinho joca", "jose": "ze zeca zezinho", "luiz": "lulu luizinho", "manuel": "mane manu",
-    "margarida": "guida", "maria": "mariinha ma mari", "pedro": "pedrinho", "raimundo": "mundinho rai mundo", "rosangela": "rosa",
-    "sebastiao": "bastiao tiao", "teresa": "teca tete",
-}
-_FULL = {n: full for full, ns in NICKNAMES.items() for n in ns.split()}
 
 
 def form(name: str) -> str:
@@ -60,10 +58,11 @@ def form(name: str) -> str:
     return " ".join(re.findall(r"[a-z]+", s.replace("&", " e ")))
 
 
-def grams(words: str) -> list[str]:
-    """The distinct n-grams of each word; shorter words are taken whole."""
+def grams(words: str, short: dict[str, str] | None = None) -> list[str]:
+    """The distinct n-grams of each word (of the full word for one in ``short``); shorter words are taken whole."""
     out = set()
     for w in words.split():
+        w = short.get(w, w) if short else w
         if len(w) <= GRAM:
             out.add(w)
         else:
@@ -85,18 +84,22 @@ def _short(a: str, b: str) -> bool:
     return t.startswith(s) or (len(s) >= 3 and all(c in it for c in s))
 
 
-def _given(a: str, b: str, common: frozenset[str]) -> bool:
-    if _near(a, b):
-        return not (a in common and b in common and a != b)
-    fa, fb = _FULL.get(a, a), _FULL.get(b, b)
-    return fa == fb or (min(len(fa), len(fb)) >= 4 and (fa == a or fb == b) and not (a in common and b in common) and _edits(fa, fb, 1))
-
-
 class Words:
     """Common words of the names, split into those of organisations and those of persons."""
 
-    def __init__(self, trade: frozenset[str], given: frozenset[str], frequent: frozenset[str] = frozenset()):
-        self.trade, self.given, self.frequent = trade, given, frequent
+    def __init__(self, trade: frozenset[str], given: frozenset[str], frequent: frozenset[str] = frozenset(), short: dict[str, str] | None = None):
+        self.trade, self.frequent, self.short = trade, frequent, short or {}
+        self.given = given | frozenset(self.short.values())
+
+    def full(self, word: str) -> str:
+        return self.short.get(word, word)
+
+    def same_given(self, a: str, b: str) -> bool:
+        """Whether two given names are one: equal or a slip apart, if not both common, or one short for the other."""
+        if _near(a, b):
+            return a == b or not (a in self.given and b in self.given)
+        fa, fb = self.full(a), self.full(b)
+        return fa == fb or (min(len(fa), len(fb)) >= 4 and (fa == a or fb == b) and not (a in self.given and b in self.given) and _edits(fa, fb, 1))
 
     def organisation(self, words: list[str]) -> bool:
         return any(w in LEGAL or w in self.trade for w in words)
@@ -148,7 +151,7 @@ def _persons(a: list[str], b: list[str], words: Words) -> bool:
         return a == b
     if len(a) > len(b):
         a, b = b, a
-    if not _given(a[0], b[0], words.given):
+    if not words.same_given(a[0], b[0]):
         return False
     if not _near(a[-1], b[-1]):
         # surnames written together
@@ -163,13 +166,13 @@ def _middle(a: list[str], b: list[str], words: Words) -> tuple[bool, bool]:
     for w in b:
         if i < len(a):
             v = a[i]
-            if _near(v, w) and not (v in words.given and w in words.given and v != w) or _FULL.get(v, v) == _FULL.get(w, w):
+            if _near(v, w) and not (v in words.given and w in words.given and v != w) or words.full(v) == words.full(w):
                 i, full = i + 1, True
                 continue
             if len(v) == 1 and w.startswith(v) or len(w) == 1 and v.startswith(w):
                 i += 1
                 continue
-        if w not in words.given and w not in _FULL and len(w) > 1:
+        if w not in words.given and w not in words.short and len(w) > 1:
             return False, False
     return i == len(a), full
 
@@ -198,14 +201,37 @@ def vocabulary(forms: DataFrame) -> Words:
     rows = [r for r in rows if r["n"] >= COMMON * n]
     fixed = LEGAL | PARTICLES | {"e"}
     trade = frozenset(r["w"] for r in rows if r["l"] >= 0.9 and r["w"] not in fixed and len(r["w"]) > 3 and not (r["h"] > 0.5))
-    given = frozenset(r["w"] for r in rows if r["l"] < 0.1 and r["w"] not in fixed and len(r["w"]) > 2 and r["h"] > 0.2) | frozenset(NICKNAMES)
-    return Words(trade, given, frequent)
+    given = frozenset(r["w"] for r in rows if r["l"] < 0.1 and r["w"] not in fixed and len(r["w"]) > 2 and r["h"] > 0.2)
+    return Words(trade, given, frequent, short_forms(forms, given, n))
 
 
-def _vectors(forms: DataFrame) -> DataFrame:
+def short_forms(forms: DataFrame, given: frozenset[str], n: int) -> dict[str, str]:
+    """Short form -> common given name, learnt from the names.
+
+    A first word is short for a common given name if most names that have their surnames (two or more) in common with a
+    name that begins with a common given name have that one. Words of fewer than SHORT_USED of the ``n`` names aren't, so there are at most
+    (words of a name) / SHORT_USED of them.
+    """
+    if not given:
+        return {}
+    w = F.filter(F.split("forma", " "), lambda x: ~x.isin(*sorted(PARTICLES)))
+    persons = forms.select(w.alias("w")).filter((F.size("w") > 1) & ~F.arrays_overlap("w", F.array(*[F.lit(x) for x in sorted(LEGAL)])))
+    surnames = F.array_sort(F.filter(F.slice("w", 2, 1_000_000), lambda x: (F.length(x) > 1) & ~x.isin(*sorted(given))))
+    heads = persons.select(F.get("w", 0).alias("h"), surnames.alias("s")).filter(F.size("s") > 1).select("h", F.xxhash64("s").alias("rest")).distinct()
+    used = heads.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= F.lit(max(2.0, SHORT_USED * n)))
+    many = heads.join(used, "h")
+    full = many.filter(F.col("h").isin(*sorted(given))).select(F.col("h").alias("full"), "rest", F.col("n").alias("nf"))
+    met = many.filter(F.length("h") > 1).join(full, "rest").filter(F.col("n") * SHORT_RARER <= F.col("nf"))
+    both = met.groupBy("h", "full").agg(F.count("*").alias("n"))
+    of = met.select("h", "rest").distinct().groupBy("h").agg(F.count("*").alias("all"))
+    rows = both.join(of, "h").filter((F.col("n") >= SHORT_SEEN) & (F.col("n") >= SHORT_SHARE * F.col("all"))).collect()  # bounded by SHORT_USED
+    return {r["h"]: r["full"] for r in sorted(rows, key=lambda r: (r["n"], r["full"]))}
+
+
+def _vectors(forms: DataFrame, short: dict[str, str] | None = None) -> DataFrame:
     """(id, g, df, u, __rest): n-gram vectors of unit norm, and the squared norm of an n-gram and all lighter ones."""
     n = forms.count()
-    g = forms.select("id", F.explode(_grams_udf()(F.col("forma"))).alias("g"))
+    g = forms.select("id", F.explode(_grams_udf(short)(F.col("forma"))).alias("g"))
     df = g.groupBy("g").agg(F.count("*").alias("df"))
     idf = F.log(F.lit(n + SATURATED) / F.greatest(F.col("df"), F.lit(SATURATED)))
     w = g.join(df, "g").select("id", "g", "df", (idf * idf * F.when(F.length("g") < GRAM, F.lit(WHOLE)).otherwise(F.lit(1.0))).alias("w"))
@@ -231,19 +257,8 @@ def _met(p: DataFrame, *more: str) -> DataFrame:
     return x.join(y, ["g", "i", "j"]).filter("a < b")
 
 
-def similar_pairs(forms: DataFrame, cosine: float = COSINE, rest: float = REST) -> DataFrame:
-    """(a, b): ids of all forms whose sparse n-gram vectors reach the cosine, a < b, each pair once.
-
-    forms: id, forma. A vector has unit norm over all n-grams of the name; of these it keeps the heaviest ones, until
-    what is left has a norm below ``rest``. The join over the kept n-grams is exact, but pairs that reach the cosine by
-    what is left out are lost: ``whole_pairs`` has them all.
-    """
-    p = written(_vectors(forms).filter(F.col("__rest") >= rest * rest).select("id", "g", "df", "u"), "name-postings")
-    return _met(p).groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("s")).filter(F.col("s") >= cosine - 1e-9).select("a", "b")
-
-
-def whole_pairs(forms: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """(a, b): ids of all forms whose whole n-gram vectors reach the cosine, a < b, each pair once.
+def similar_pairs(forms: DataFrame, cosine: float = COSINE, short: dict[str, str] | None = None) -> DataFrame:
+    """(a, b, s): ids of all forms whose n-gram vectors reach the cosine s, a < b, each pair once.
 
     forms: id, forma. Exact: what follows a prefix (the heaviest n-grams) has a norm below the cosine, so two forms that
     reach it have an n-gram of their prefixes in common. As all vectors have their n-grams in one order, what two forms
@@ -251,7 +266,7 @@ def whole_pairs(forms: DataFrame, cosine: float = COSINE) -> DataFrame:
     most the rest of the one times the other's norm from there on. Candidates that can't reach the cosine so are
     dropped, the others are scored over all n-grams.
     """
-    v = written(_vectors(forms), "name-vectors")
+    v = written(_vectors(forms, short), "name-vectors")
     after = F.greatest(F.lit(0.0), F.col("__rest") - F.col("u") * F.col("u"))
     prefix = v.filter(F.col("__rest") >= cosine * cosine).withColumn("t", F.sqrt(after)).withColumn("r", F.min("t").over(Window.partitionBy("id")))
     p = written(prefix.select("id", "g", "df", "u", "t", "r"), "name-postings")
@@ -260,13 +275,23 @@ def whole_pairs(forms: DataFrame, cosine: float = COSINE) -> DataFrame:
     vectors = v.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("g", "u"))).alias("v"))
     both = near.join(vectors.withColumnRenamed("id", "a").withColumnRenamed("v", "va"), "a").join(vectors.withColumnRenamed("id", "b").withColumnRenamed("v", "vb"), "b")
     score = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda t, e: t + e["value"] * F.coalesce(F.element_at("vb", e["key"]), F.lit(0.0)))
-    return both.filter(score >= cosine - 1e-9).select("a", "b")
+    return both.select("a", "b", score.alias("s")).filter(F.col("s") >= cosine - 1e-9)
+
+
+def nearest(pairs: DataFrame, n: int) -> DataFrame:
+    """The pairs (a, b, s) that are among the ``n`` of greatest s of one of their ends; ties are all kept.
+
+    This loses links of names with more than ``n`` variants; ``entities`` takes it only where it is asked for.
+    """
+    ends = pairs.select(F.explode(F.array(F.col("a"), F.col("b"))).alias("__id"), "a", "b", "s")
+    rank = F.rank().over(Window.partitionBy("__id").orderBy(F.desc("s")))
+    return ends.withColumn("__r", rank).filter(F.col("__r") <= n).select("a", "b", "s").distinct()
 
 
-def _grams_udf():
+def _grams_udf(short: dict[str, str] | None):
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def split(s: pd.Series) -> pd.Series:
-        return s.map(grams)
+        return s.map(lambda x: grams(x, short))
 
     return split
 
@@ -280,23 +305,23 @@ def _form_udf():
 
 
 def agreeing(pairs: DataFrame, forms: DataFrame, words: Words) -> DataFrame:
-    """(a, b, s): the pairs whose parts agree, with similarity 1."""
+    """(a, b, s): the pairs (a, b, s) whose parts agree."""
     named = pairs.join(forms.select(F.col("id").alias("a"), F.col("forma").alias("fa")), "a").join(forms.select(F.col("id").alias("b"), F.col("forma").alias("fb")), "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ok = [same(x, y, words) for x, y in zip(pdf["fa"], pdf["fb"])]
-            yield pdf.loc[ok, ["a", "b"]].assign(s=1.0)
+            yield pdf.loc[ok, ["a", "b", "s"]]
 
-    return named.select("a", "b", "fa", "fb").mapInPandas(run, "a bigint, b bigint, s double")
+    return named.select("a", "b", "s", "fa", "fb").mapInPandas(run, "a bigint, b bigint, s double")
 
 
-def average_linkage(links: DataFrame, least: float = LINKAGE, rounds: int = 30) -> DataFrame:
+def average_linkage(links: DataFrame, least: float = LINKAGE, rounds: int = 200) -> DataFrame:
     """(id, grupo) of every id in ``links`` (a, b, s): clusters of average linkage, named by an id of theirs.
 
     Pairs that aren't in ``links`` have similarity 0. Each round merges clusters that are each other's nearest by mean
     similarity (ties by a hash of the pair); as average linkage is reducible, the order of such merges doesn't matter.
-    It ends when no two clusters have a mean similarity of ``least``; ``rounds`` only guards against a fault.
+    It ends when no two clusters have a mean similarity of ``least``; RuntimeError where that takes over ``rounds``.
     """
     edges = written(links.select("a", "b", "s"), "linkage")
     group = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct().select("id", F.col("id").alias("grupo"), F.lit(1).alias("n"))
@@ -310,11 +335,11 @@ def average_linkage(links: DataFrame, least: float = LINKAGE, rounds: int = 30)
         merge = best.groupBy("e").count().filter("count = 2").select(F.col("e.b").alias("old"), F.col("e.a").alias("new"))
         merge = written(merge, "linkage")
         if merge.isEmpty():
-            break
+            return members.select("id", "grupo")
         rename = lambda d, c: d.join(merge.withColumnRenamed("old", c), c, "left").withColumn(c, F.coalesce("new", c)).drop("new")
         edges = written(rename(rename(edges, "a"), "b").filter("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("s").alias("s")), "linkage")
         members = written(rename(members, "grupo").select("id", "grupo", "n"), "linkage")
-    return members.select("id", "grupo")
+    raise RuntimeError(f"no end of average linkage after {rounds} rounds")
 
 
 def current_names(creditors: DataFrame) -> DataFrame:
@@ -327,15 +352,17 @@ def current_names(creditors: DataFrame) -> DataFrame:
     return last.select("cnpj_cpf", _form_udf()(F.col("l.nome")).alias("forma")).filter("forma <> ''")
 
 
-def entities(creditors: DataFrame) -> DataFrame:
+def entities(creditors: DataFrame, top: int | None = None) -> DataFrame:
     """(cnpj_cpf, entidade, formas): the entity of each creditor and how many spellings it has.
 
-    Equal plain forms are one point, so copies cost nothing; creditors with one form are one entity.
+    Equal plain forms are one point, so copies cost nothing; creditors with one form are one entity. top: compare each
+    form with so many nearest ones only (null: with all that reach the cosine).
     """
     names = written(current_names(creditors), "names")
     forms = written(names.select("forma").distinct().withColumn("id", F.xxhash64("forma")), "names")
     words = vocabulary(forms)
-    links = agreeing(whole_pairs(forms), forms, words)
+    near = similar_pairs(forms, short=words.short)
+    links = agreeing(near if top is None else nearest(near, top), forms, words)
     groups = average_linkage(links)
     own = forms.join(groups, "id", "left").select("forma", F.coalesce("grupo", "id").alias("entidade"))
     many = own.groupBy("entidade").agg(F.count("*").alias("formas"))
@@ -343,7 +370,14 @@ def entities(creditors: DataFrame) -> DataFrame:
 
 
 def pairs(creditors: DataFrame) -> DataFrame:
-    """(cnpj_cpf_a, cnpj_cpf_b): each pair of different creditors of one entity, a < b as strings."""
+    """(cnpj_cpf_a, cnpj_cpf_b): each pair of different creditors of one entity, a < b as strings.
+
+    The number of pairs is that of an entity's creditors squared, as the result asks; where membership will do, take
+    ``entities``. The pairs of a large entity are made in as many tasks as it has blocks of its creditors.
+    """
     e = written(entities(creditors).select("cnpj_cpf", "entidade"), "entities")
-    x, y = e.withColumnRenamed("cnpj_cpf", "cnpj_cpf_a"), e.withColumnRenamed("cnpj_cpf", "cnpj_cpf_b")
-    return x.join(y, "entidade").filter("cnpj_cpf_a < cnpj_cpf_b").select("cnpj_cpf_a", "cnpj_cpf_b").distinct()
+    size = e.groupBy("entidade").agg(F.count("*").alias("n")).filter("n > 1").select("entidade", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("__n"))
+    rows = e.join(size, "entidade").withColumn("__b", F.pmod(F.xxhash64("cnpj_cpf"), F.col("__n")).cast("int"))
+    x = rows.select("entidade", F.col("cnpj_cpf").alias("cnpj_cpf_a"), F.col("__b").alias("__i"), F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__j"))
+    y = rows.select("entidade", F.col("cnpj_cpf").alias("cnpj_cpf_b"), F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__i"), F.col("__b").alias("__j"))
+    return x.join(y, ["entidade", "__i", "__j"]).filter("cnpj_cpf_a < cnpj_cpf_b").select("cnpj_cpf_a", "cnpj_cpf_b").distinct()

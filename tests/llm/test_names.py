@@ -5,7 +5,7 @@ import pytest
 from erario.llm import names
 
 T = frozenset("comercio alimentos locacao veiculos servicos limpeza artes graficas tecnologia informacao terraplenagem".split())
-W = names.Words(T, frozenset(names.NICKNAMES), frozenset({"cutrotaca"}))
+W = names.Words(T, frozenset("antonio isabel joao jose luiz maria pedro raimundo rosangela".split()), frozenset({"cutrotaca"}), {"bebel": "isabel", "toninho": "antonio"})
 
 
 @pytest.mark.parametrize(
@@ -35,31 +35,6 @@ def test_parts_decide(a, b, want):
     assert names.same(names.form(b), names.form(a), W) is want
 
 
-def test_join_finds_exactly_the_pairs_above_the_cosine(spark):
-    import math
-    import random
-
-    rng = random.Random(2)
-    syl = ["ba", "dre", "vi", "zu", "cotra", "ge", "lo", "pi", "nu", "fa"]
-    fs = sorted({" ".join("".join(rng.choice(syl) for _ in range(rng.randint(2, 5))) for _ in range(rng.randint(1, 3))) for _ in range(150)})
-    forms = spark.createDataFrame(list(enumerate(fs)), "id bigint, forma string")
-    got = {(r["a"], r["b"]) for r in names.similar_pairs(forms, 0.3).collect()}
-    gs = [set(names.grams(f)) for f in fs]
-    df = {g: sum(g in s for s in gs) for s in gs for g in s}
-    vectors = []
-    for s in gs:
-        w = {g: math.log((len(fs) + names.SATURATED) / max(df[g], names.SATURATED)) ** 2 * (names.WHOLE if len(g) < names.GRAM else 1) for g in s}
-        norm, rest, v = math.sqrt(sum(x * x for x in w.values())), 1.0, {}
-        for g in sorted(w, key=lambda g: (-w[g], g)):
-            if rest >= names.REST**2:
-                v[g] = w[g] / norm
-            rest -= (w[g] / norm) ** 2
-        vectors.append(v)
-    cos = {(i, j): sum(x * vectors[j].get(g, 0) for g, x in vectors[i].items()) for i, j in itertools.combinations(range(len(fs)), 2)}
-    assert {p for p, c in cos.items() if c >= 0.3 + 1e-6} <= got <= {p for p, c in cos.items() if c >= 0.3 - 1e-6}
-    assert got
-
-
 def test_blocks_of_a_frequent_ngram_meet_all(spark, monkeypatch):
     monkeypatch.setattr(names, "BLOCK_ROWS", 5)
     forms = spark.createDataFrame([(i, f"zebracutrotaca {chr(97 + i % 26) * 7}") for i in range(26)], "id bigint, forma string")
@@ -69,7 +44,7 @@ def test_blocks_of_a_frequent_ngram_meet_all(spark, monkeypatch):
 
 def test_average_linkage(spark):
     links = [(1, 2, 1.0), (2, 3, 1.0), (1, 3, 1.0), (3, 4, 1.0), (7, 8, 1.0)]
-    g = {r["id"]: r["grupo"] for r in names.average_linkage(spark.createDataFrame(links, "a bigint, b bigint, s double")).collect()}
+    g = {r["id"]: r["grupo"] for r in names.average_linkage(spark.createDataFrame(links, "a bigint, b bigint, s double"), 0.5).collect()}
     assert g[7] == g[8] != g[1] and set(g) == {1, 2, 3, 4, 7, 8}
     # 4 hangs on 3 only: it joins 3 first or stays out of the clique, never pulls all four together by a third of the links
     assert len({g[i] for i in (1, 2, 3, 4)}) == 2
@@ -111,10 +86,51 @@ def test_whole_vectors_are_compared(spark, monkeypatch):
     norm = [math.sqrt(sum(w[g] ** 2 for g in s)) for s in gs]
     cos = {(i, j): sum(w[g] ** 2 for g in gs[i] & gs[j]) / (norm[i] * norm[j]) for i, j in itertools.combinations(range(len(fs)), 2)}
     for least in (0.1, 0.25, 0.5):
-        got = [(r["a"], r["b"]) for r in names.whole_pairs(forms, least).collect()]
+        rows = names.similar_pairs(forms, least).collect()
+        got = [(r["a"], r["b"]) for r in rows]
+        assert all(abs(r["s"] - cos[r["a"], r["b"]]) < 1e-9 for r in rows)
         assert len(got) == len(set(got)) and {p for p, c in cos.items() if c >= least + 1e-6} <= set(got) <= {p for p, c in cos.items() if c >= least - 1e-6}
 
 
+def people(shift=0):
+    surnames = [f"{a}{b}{c} {c}{a}{b}" for a in ("zebra", "cotra", "vidre") for b in ("lupi", "nufa", "goda") for c in ("mizu", "pevo", "trofa")]
+    given = ["Antônio", "Maria", "Benedito"]
+    return [(f"{shift}{i:03d}", f"{given[i % 3]} {s}", True) for i, s in enumerate(surnames)]
+
+
+def test_short_forms_are_learnt_from_the_names(spark):
+    rows = people() + [(f"1{k}", n.replace("Antônio", "Toninho"), True) for k, n, _ in people()[:9:3]] + [("9", "Zzoninho Outro Nome", True)]
+    rows += [(f"2{k}", n.replace("Maria", "José"), True) for k, n, _ in people()[1:4:3]]  # a relative, once
+    got = names.short_forms(names.current_names(creditors(spark, rows)).select("forma").distinct(), frozenset({"antonio", "maria", "benedito"}), len(rows))
+    assert got == {"toninho": "antonio"}
+    assert names.grams("toninho x", got) == names.grams("antonio x")
+
+
+def test_the_nearest_of_each_name(spark):
+    p = spark.createDataFrame([(1, 2, 0.9), (1, 3, 0.5), (1, 4, 0.5), (2, 3, 0.3), (3, 4, 0.2)], "a bigint, b bigint, s double")
+    assert sorted((r["a"], r["b"]) for r in names.nearest(p, 1).collect()) == [(1, 2), (1, 3), (1, 4)]
+    assert names.nearest(p, 5).count() == 5
+
+
+def test_linkage_goes_by_cosines_and_must_end(spark):
+    links = [(1, 2, 0.9), (2, 3, 0.3), (1, 3, 0.05)]
+    df = spark.createDataFrame(links, "a bigint, b bigint, s double")
+    g = {r["id"]: r["grupo"] for r in names.average_linkage(df, 0.2).collect()}
+    assert g[1] == g[2] != g[3]
+    assert len({r["grupo"] for r in names.average_linkage(df, 0.15).collect()}) == 1
+    with pytest.raises(RuntimeError):
+        names.average_linkage(df, 0.15, rounds=1)
+
+
+def test_pairs_of_a_large_entity_are_made_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(names, "BLOCK_ROWS", 4)
+    rows = [(f"{i:02d}", "Dragujage Tucofedri Serviços de Limpeza ME", True) for i in range(15)]
+    got = [tuple(r) for r in names.pairs(creditors(spark, rows)).collect()]
+    assert len(got) == len(set(got)) == 105 and all(a < b for a, b in got)
+
+
 def test_variant_that_shares_light_ngrams(spark):
-    rows = [("1", "Antônio Abacadabelago Bacadafegila Zuvuzazu", True), ("2", "Toninho A. B. Zuvuzazu", True), ("3", "Pedro Cotradrevi", True)]
-    assert [tuple(r) for r in names.pairs(creditors(spark, rows)).collect()] == [("1", "2")]
+    rows = people() + [(f"1{k}", n.replace("Antônio", "Toninho"), True) for k, n, _ in people()[:9:3]]
+    rows += [("3001", "Antônio Abacadabelago Bacadafegila Zuvuzazu", True), ("3002", "Toninho A. B. Zuvuzazu", True)]
+    got = {tuple(r) for r in names.pairs(creditors(spark, rows)).collect()}
+    assert ("3001", "3002") in got and len(got) == 4
