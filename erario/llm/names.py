@@ -25,7 +25,7 @@ from erario.llm.increments import _edits
 from erario.session import written
 
 #: Length of the n-grams, least cosine of a pair, and least mean cosine of two clusters that are merged.
-GRAM, COSINE, LINKAGE = 5, 0.25, 0.1
+GRAM, COSINE, LINKAGE = 5, 0.3, 0.1
 #: N-grams of fewer names than this weigh alike, so that a slip's own n-grams don't outweigh the words around it.
 SATURATED = 20
 #: A word is common from this share of all names.
@@ -70,6 +70,14 @@ def grams(words: str, short: dict[str, str] | None = None) -> list[str]:
     return sorted(out)
 
 
+def number(gram: str) -> int:
+    """The letters of an n-gram as digits of base 27; each has its own number, shorter ones have smaller numbers."""
+    n = 0
+    for c in gram:
+        n = n * 27 + ord(c) - 96
+    return n
+
+
 def _near(a: str, b: str) -> bool:
     """Equal, or one slip of the keys apart in words of four letters or more."""
     return a == b or (min(len(a), len(b)) >= 4 and _edits(a, b, 1))
@@ -234,7 +242,7 @@ def _vectors(forms: DataFrame, short: dict[str, str] | None = None) -> DataFrame
     g = forms.select("id", F.explode(_grams_udf(short)(F.col("forma"))).alias("g"))
     df = g.groupBy("g").agg(F.count("*").alias("df"))
     idf = F.log(F.lit(n + SATURATED) / F.greatest(F.col("df"), F.lit(SATURATED)))
-    w = g.join(df, "g").select("id", "g", "df", (idf * idf * F.when(F.length("g") < GRAM, F.lit(WHOLE)).otherwise(F.lit(1.0))).alias("w"))
+    w = g.join(df, "g").select("id", "g", "df", (idf * idf * F.when(F.col("g") < F.lit(27 ** (GRAM - 1)), F.lit(WHOLE)).otherwise(F.lit(1.0))).alias("w"))
     heavy = Window.partitionBy("id").orderBy(F.desc("w"), "g")
     whole = Window.partitionBy("id")
     ranked = w.withColumn("u", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(whole)))
@@ -260,17 +268,18 @@ def _met(p: DataFrame, *more: str) -> DataFrame:
 def similar_pairs(forms: DataFrame, cosine: float = COSINE, short: dict[str, str] | None = None) -> DataFrame:
     """(a, b, s): ids of all forms whose n-gram vectors reach the cosine s, a < b, each pair once.
 
-    forms: id, forma. Exact: what follows a prefix (the heaviest n-grams) has a norm below the cosine, so two forms that
-    reach it have an n-gram of their prefixes in common. As all vectors have their n-grams in one order, what two forms
-    share besides comes after the prefix that ends first, and after the last shared n-gram of both prefixes: it is at
-    most the rest of the one times the other's norm from there on. Candidates that can't reach the cosine so are
-    dropped, the others are scored over all n-grams.
+    forms: id, forma. Exact: all vectors have their n-grams in one order, heaviest first. Two forms share nothing ahead
+    of their first common n-gram, so their cosine is at most the product of the norms from there on; where this product
+    is below the cosine the n-gram can't be the first one that two such forms share, and their meeting there is dropped at
+    once (so n-grams of many names, which are light, make few meetings). What is shared after the last meeting kept is at
+    most the product of the norms behind it; candidates that can't reach the cosine so are dropped, the others are scored
+    over all n-grams.
     """
     v = written(_vectors(forms, short), "name-vectors")
-    after = F.greatest(F.lit(0.0), F.col("__rest") - F.col("u") * F.col("u"))
-    prefix = v.filter(F.col("__rest") >= cosine * cosine).withColumn("t", F.sqrt(after)).withColumn("r", F.min("t").over(Window.partitionBy("id")))
-    p = written(prefix.select("id", "g", "df", "u", "t", "r"), "name-postings")
-    shared = _met(p, "t", "r").groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("s"), F.greatest(F.min(F.col("ra")) * F.min("tb"), F.min(F.col("rb")) * F.min("ta")).alias("more"))
+    prefix = v.filter(F.col("__rest") >= cosine * cosine).select("id", "g", "df", "u", F.sqrt("__rest").alias("r"), F.sqrt(F.greatest(F.lit(0.0), F.col("__rest") - F.col("u") * F.col("u"))).alias("t"))
+    p = written(prefix, "name-postings")
+    met = _met(p, "r", "t").filter(F.col("ra") * F.col("rb") >= cosine - 1e-9)
+    shared = met.groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("s"), F.min(F.col("ta") * F.col("tb")).alias("more"))
     near = shared.filter(F.col("s") + F.col("more") >= cosine - 1e-9).select("a", "b")
     vectors = v.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("g", "u"))).alias("v"))
     both = near.join(vectors.withColumnRenamed("id", "a").withColumnRenamed("v", "va"), "a").join(vectors.withColumnRenamed("id", "b").withColumnRenamed("v", "vb"), "b")
@@ -289,9 +298,9 @@ def nearest(pairs: DataFrame, n: int) -> DataFrame:
 
 
 def _grams_udf(short: dict[str, str] | None):
-    @F.pandas_udf(T.ArrayType(T.StringType()))
+    @F.pandas_udf(T.ArrayType(T.LongType()))
     def split(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: grams(x, short))
+        return s.map(lambda x: [number(g) for g in grams(x, short)])
 
     return split
 
