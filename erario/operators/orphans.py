@@ -1,9 +1,10 @@
 """References to records that don't exist, or didn't stand at the time of the reference.
 
 Parent keys become integers, are sorted and compressed into contiguous runs. Each reference is matched to the run that
-starts last at or before it; beyond the end of that run there is no such parent. For keys within a run, the spans in
-which the parent stood decide. Both matches are one walk along the sorted keys (see ``ranges.last_before``), so neither
-side is broadcast and a key that most references share is cut into ranges.
+starts last at or before it (as-of); beyond the end of that run there is no such parent and the reference is reported
+without a look at the parents. Only references within a run go on to the spans in which their parent stood. Runs of
+keys that are numbered one after the other are few, so they are held in every task; more than HELD of them are
+walked along the sorted keys (``ranges.last_before``). Keys that aren't numbers become hashes, whose runs have length 1.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from erario.operators.ranges import last_before, matching_groups
-from erario.session import shuffle_width
+from erario.session import shuffle_width, written
 
+#: Runs that are handed to every task; 24 bytes each.
+HELD = 1_000_000
 #: Factor that sets the year ahead of the number in a composite key.
 YEAR_STEP = 10**13
 _FOREVER = 2**62
@@ -69,7 +72,39 @@ def micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def orphans(references: DataFrame, parents: DataFrame) -> DataFrame:
+def within_runs(asked: DataFrame, runs: DataFrame, held: int = HELD) -> DataFrame:
+    """``asked`` (grupo, numero, …) with ``dentro``: whether the run that starts last at or before the number reaches it.
+
+    runs: (grupo, inicio, fim), without overlap; numbers ahead of all runs are in none. A column dentro is replaced.
+    """
+    asked = asked.drop("dentro")
+    few = runs.limit(held + 1).count() <= held
+    if few:
+        by_group = {g: x.sort_values("inicio") for g, x in runs.toPandas().groupby("grupo")}  # at most ``held`` rows
+        shared = asked.sparkSession.sparkContext.broadcast({g: (x["inicio"].to_numpy(), x["fim"].to_numpy()) for g, x in by_group.items()})
+
+        @F.pandas_udf("boolean")
+        def reached(group: pd.Series, number: pd.Series) -> pd.Series:
+            out = np.zeros(len(number), bool)
+            for g in group.unique():
+                if g in shared.value:
+                    start, end = shared.value[g]
+                    mine = (group == g).to_numpy()
+                    n = number.to_numpy()[mine]
+                    at = np.searchsorted(start, n, "right") - 1
+                    out[mine] = (at >= 0) & (n <= end[np.maximum(at, 0)])
+            return pd.Series(out)
+
+        return asked.withColumn("dentro", reached("grupo", "numero"))
+    none = F.lit(None).cast("bigint")
+    rest = F.struct(*[c for c in asked.columns if c not in ("grupo", "numero")])
+    line = runs.select("grupo", F.col("inicio").alias("numero"), F.lit(0).alias("tipo"), F.col("fim").alias("fim"), F.lit(None).cast(asked.select(rest.alias("r")).schema["r"].dataType).alias("r"))
+    line = line.unionByName(asked.select("grupo", "numero", F.lit(1).alias("tipo"), none.alias("fim"), rest.alias("r")))
+    walked = last_before(line, ["grupo"], ["numero", "tipo"], {"fim": (1, "last")}).filter("tipo = 1")
+    return walked.select("grupo", "numero", "r.*", F.coalesce(F.col("numero") <= F.col("fim"), F.lit(False)).alias("dentro")).select(*asked.columns, "dentro")
+
+
+def orphans(references: DataFrame, parents: DataFrame, held: int = HELD) -> DataFrame:
     """``references`` without a parent that stood at their time, with ``motivo``: inexistente or fora_do_prazo.
 
     references: grupo string (which relation), chave string (plain key), numero bigint (key_number or composite_number
@@ -85,17 +120,13 @@ def orphans(references: DataFrame, parents: DataFrame) -> DataFrame:
     # a reference without a time looks at the end of time
     when = F.coalesce(micros(F.col("em")), F.lit(_FOREVER))
     asked = refs.groupBy("grupo", "chave", "numero", when.alias("quando")).agg(F.count("*").alias("n"))
-    spans = parents.filter(ok).select("grupo", "chave", "numero", F.coalesce(micros(F.col("de")), F.lit(-_FOREVER)).alias("quando"), F.coalesce(micros(F.col("ate")), F.lit(_FOREVER + 1)).alias("ate")).groupBy("grupo", "chave", "numero", "ate").agg(F.min("quando").alias("quando"))
-    none = F.lit(None).cast("bigint")
-    line = (
-        runs(spans, "grupo", "numero").select("grupo", F.col("inicio").alias("numero"), F.lit("").alias("chave"), F.lit(-_FOREVER - 1).alias("quando"), F.lit(0).alias("tipo"), F.col("fim").alias("fim"), none.alias("ate"), none.alias("n"))
-        .unionByName(spans.select("grupo", "numero", "chave", "quando", F.lit(1).alias("tipo"), none.alias("fim"), "ate", none.alias("n")))
-        .unionByName(asked.select("grupo", "numero", "chave", "quando", F.lit(2).alias("tipo"), none.alias("fim"), none.alias("ate"), "n"))
-    )
-    walked = last_before(line, ["grupo", "numero", "chave"], ["quando", "tipo"], {"fim": (1, "last"), "ate": (3, "max")})
-    missing = F.col("fim").isNull() | (F.col("numero") > F.col("fim")) | ~F.col("__known")
-    known = spans.select("grupo", "chave").distinct().withColumn("__known", F.lit(True))
-    lost = walked.filter("tipo = 2").filter(F.col("fim").isNull() | (F.col("numero") > F.col("fim")) | F.col("ate").isNull() | (F.col("ate") <= F.col("quando")))
-    why = lost.join(known, ["grupo", "chave"], "left").withColumn("__known", F.coalesce("__known", F.lit(False)))
-    why = why.select("grupo", "chave", F.col("quando").alias("__quando"), F.when(missing, "inexistente").otherwise("fora_do_prazo").alias("motivo"), F.col("n").alias("__n"))
+    kept = parents.filter(ok)
+    spans = kept.groupBy("grupo", "chave").agg(F.collect_set(F.struct(F.coalesce(micros(F.col("de")), F.lit(-_FOREVER)).alias("de"), F.coalesce(micros(F.col("ate")), F.lit(_FOREVER + 1)).alias("ate"))).alias("spans"))
+    lines = written(runs(kept, "grupo", "numero"), "orphan-runs")
+    placed = written(within_runs(asked, lines, held), "orphan-asked")
+    beyond = placed.filter("not dentro").select("grupo", "chave", "quando", "n", F.lit("inexistente").alias("motivo"))
+    near = placed.filter("dentro").join(spans, ["grupo", "chave"], "left")
+    stood = F.exists("spans", lambda s: (s["de"] <= F.col("quando")) & (s["ate"] > F.col("quando")))
+    late = near.filter(~F.coalesce(stood, F.lit(False))).select("grupo", "chave", "quando", "n", F.when(F.col("spans").isNull(), "inexistente").otherwise("fora_do_prazo").alias("motivo"))
+    why = beyond.unionByName(late).select("grupo", "chave", F.col("quando").alias("__quando"), "motivo", F.col("n").alias("__n"))
     return matching_groups(refs.withColumn("__quando", when), why, ["grupo", "chave", "__quando"], "__n").drop("__quando", "__n")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from erario.functions.keys import key_number, plain_key, plain_number
 from erario.operators.history import creditor_versions
-from erario.operators.orphans import composite_number, orphans, runs
+from erario.operators.orphans import composite_number, orphans, runs, within_runs
 
 DIM = "sk_credor string, cnpj_cpf string, nome string, tipo string, historico_infringement boolean, valido_de timestamp_ntz, valido_ate timestamp_ntz, versao_atual boolean, carregado_em timestamp_ntz, extra string"
 SNAP = "data_snapshot date, cnpj_cpf string, nome string, tipo string, historico_infringement boolean, carregado_em timestamp_ntz, de string"
@@ -107,3 +107,21 @@ def test_composite_numbers_keep_distance(spark):
     r = spark.createDataFrame([(2024, "10"), (2024, "11"), (2025, "10"), (2024, "x"), (None, "1")], "a int, k string").select(composite_number(F.col("a"), F.col("k")).alias("n")).collect()
     assert r[1]["n"] - r[0]["n"] == 1
     assert len({x["n"] for x in r}) == 5
+
+
+def test_the_run_before_decides_what_is_beyond(spark):
+    parents = spark.createDataFrame([("g", i) for i in [*range(10, 20), 30]] + [("h", 5)], "grupo string, numero bigint")
+    asked = spark.createDataFrame([("g", n, "x") for n in (9, 10, 15, 19, 20, 29, 30, 31)] + [("h", 5, "y"), ("h", 6, "y"), ("i", 5, "y")], "grupo string, numero bigint, dentro string")
+    want = {("g", 10), ("g", 15), ("g", 19), ("g", 30), ("h", 5)}
+    lines = runs(parents, "grupo", "numero")
+    for held in (10**6, 0):  # held in every task, and walked
+        got = within_runs(asked.withColumn("outro", F.lit(1)), lines, held).collect()
+        assert len(got) == 11 and {(r["grupo"], r["numero"]) for r in got if r["dentro"]} == want and all(r["outro"] == 1 for r in got)
+
+
+def test_only_references_within_a_run_meet_the_parents(spark, monkeypatch):
+    from erario.operators import orphans as module
+
+    monkeypatch.setattr(module, "runs", lambda parents, group, number: spark.createDataFrame([("g", 1, 3)], "grupo string, inicio bigint, fim bigint"))
+    refs = [("g", "2", t(3), "dentro"), ("g", "9", t(3), "além")]
+    assert lost(spark, refs, [("g", "2", t(1), None), ("g", "9", t(1), None)]) == [("além", "inexistente")]
