@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from erario.functions.keys import key_number, plain_key, plain_number
-from erario.operators.compaction import Compacted, compact
+from erario.operators.compaction import Compacted, committed, compact
 from erario.operators.heavykeys import heavy_keys, key_profile
 from erario.operators.history import creditor_versions
 from erario.operators.orphans import composite_number, orphans
@@ -24,13 +24,12 @@ SESSIONS = ["evento", "usuario", "origem_ip", "sessao_pid", "timestamp_evento"]
 
 
 def _compacted(spark: SparkSession, sf_dir: str) -> dict[str, Compacted]:
+    """The committed rewrites of both tables, as a reader finds them."""
     root = f"{shared_dir(spark)}/compactado-{uuid.uuid4().hex}"
-    done = {
-        name: compact(table(spark, sf_dir, name), F.to_date("coletado_em"), "arquivo", "registro_id", same, name, root)
-        for name, same in (("infra_metricas_containers", METRICS), ("sessoes_ssh", SESSIONS))
-    }
     drop_on_exit(spark, root)  # a query's rewrite is not kept
-    return done
+    for name, same in (("infra_metricas_containers", METRICS), ("sessoes_ssh", SESSIONS)):
+        compact(table(spark, sf_dir, name), F.to_date("coletado_em"), "arquivo", "registro_id", same, name, root)
+    return {name: committed(spark, f"{root}/{name}") for name in ("infra_metricas_containers", "sessoes_ssh")}
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,12 +39,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(tabela, dia, registros, menos_arquivos): records of each day after the rewrite, and whether files became fewer."""
+    """(tabela, dia, registros, antes, arquivos): records of each day in the rewrite, its files before and those now on disk."""
     out = []
     for name, c in _compacted(spark, sf_dir).items():
         old = table(spark, sf_dir, name).groupBy(F.to_date("coletado_em").alias("dia")).agg(F.countDistinct("arquivo").alias("antes"))
-        new = c.report.groupBy("dia").agg(F.sum("rows").alias("registros"), F.count("*").alias("depois"))
-        out.append(new.join(old, new["dia"].eqNullSafe(old["dia"])).select(F.lit(name).alias("tabela"), F.date_format(new["dia"], "yyyy-MM-dd").alias("dia"), "registros", (F.col("depois") < F.col("antes")).alias("menos_arquivos")))
+        new = c.report.groupBy("dia").agg(F.sum("rows").alias("registros"), F.sum("files").alias("arquivos"))
+        out.append(new.join(old, new["dia"].eqNullSafe(old["dia"])).select(F.lit(name).alias("tabela"), F.date_format(new["dia"], "yyyy-MM-dd").alias("dia"), "registros", "antes", "arquivos"))
     return out[0].unionByName(out[1])
 
 
@@ -159,7 +158,8 @@ _LOST = """
 
 SQL: dict[str, str] = {
     "p2_found": f"SELECT tabela, registro_id FROM ({_REPEATS}) WHERE n > 1",
-    "p2_layout": f"SELECT tabela, strftime(d, '%Y-%m-%d') AS dia, count(*) FILTER (WHERE n = 1) AS registros, count(DISTINCT arquivo) > 1 AS menos_arquivos FROM ({_REPEATS}) GROUP BY tabela, d HAVING count(*) FILTER (WHERE n = 1) > 0",
+    # a day's rows fit one file of the target size
+    "p2_layout": f"SELECT tabela, strftime(d, '%Y-%m-%d') AS dia, count(*) FILTER (WHERE n = 1) AS registros, count(DISTINCT arquivo) AS antes, 1 AS arquivos FROM ({_REPEATS}) GROUP BY tabela, d HAVING count(*) FILTER (WHERE n = 1) > 0",
     "p3_found": f"SELECT tabela, chave FROM (SELECT tabela, chave, count(*) AS n, sum(count(*)) OVER (PARTITION BY tabela) AS t FROM ({_KEYED}) GROUP BY tabela, chave) WHERE chave IS NOT NULL AND n > {HEAVY_SHARE} * t",
     "p3_profile": f"SELECT tabela, chave, count(*) AS linhas, CAST(sum(v) AS DECIMAL(18,2)) AS total, CAST(min(v) AS DECIMAL(18,2)) AS menor, CAST(max(v) AS DECIMAL(18,2)) AS maior FROM ({_KEYED}) GROUP BY tabela, chave",
     "p4_found": f"WITH {_SEEN} SELECT cnpj_cpf, strftime(em, '%Y-%m-%d') AS valido_de FROM versions WHERE em IS NOT NULL",

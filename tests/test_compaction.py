@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from erario.operators import compaction
-from erario.operators.compaction import NotWhole, bins, compact, compact_directory, first_fit_decreasing, repeats
+from erario.operators.compaction import NotWhole, bins, committed, compact, compact_directory, first_fit_decreasing, repeats, rounded
 
 SCHEMA = "registro_id bigint, nome string, v double, em timestamp, arquivo string, dia string, bin int"
 
@@ -58,6 +58,10 @@ def test_compact_commits_all_records_once(spark, tmp_path):
     again = compact(df, F.to_date("em"), "arquivo", "registro_id", ["nome", "v", "em"], "t", root=f"file://{tmp_path}")
     assert json.loads((tmp_path / "t" / "_commit.json").read_text())["version"] != commit["version"]
     assert again.rows.count() == 5
+    read = committed(spark, f"file://{tmp_path}/t")
+    assert read.rows.count() == 5 and sorted(r["registro_id"] for r in read.repeats.collect()) == [2, 4, 6]
+    assert committed(spark, f"file://{tmp_path}/nothing") is None
+    assert sorted((str(r["dia"]), r["rows"], r["files"]) for r in again.report.collect()) == [("2024-01-01", 3, 1), ("2024-01-02", 1, 1), ("None", 1, 1)]
 
 
 def test_compact_of_nothing(spark, tmp_path):
@@ -73,6 +77,25 @@ def test_nothing_is_committed_when_rows_are_lost(spark, tmp_path, monkeypatch):
     assert not (tmp_path / "bad" / "_commit.json").exists()
 
 
+def test_a_bin_that_lost_a_row_to_another_is_told(spark, tmp_path, monkeypatch):
+    whole = compaction.manifest
+
+    def shifted(*a):  # the total is right, the files' own counts aren't
+        m = whole(*a)
+        return m.withColumn("rows", F.col("rows") + F.when(F.col("arquivo") == "f5", 1).when(F.col("arquivo") == "f1", -1).otherwise(0))
+
+    monkeypatch.setattr(compaction, "manifest", shifted)
+    with pytest.raises(NotWhole):
+        compact(frame(spark), F.to_date("em"), "arquivo", "registro_id", ["nome", "v", "em"], "bad", root=f"file://{tmp_path}")
+
+
+def test_tiny_files_fill_a_bin(spark):
+    files = spark.range(5000).select(F.lit("d").alias("dia"), F.col("id").cast("string").alias("arquivo"), (F.col("id") % 7 + 700).alias("bytes"), F.lit(1).cast("bigint").alias("rows"), F.lit(0).alias("checksum"))
+    assert bins(files, "arquivo", 1 << 27).select("bin").distinct().count() == 1
+    n = spark.range(1, 3000).select(F.col("id"), rounded(F.col("id")).alias("r")).collect()
+    assert all(x["id"] <= x["r"] <= x["id"] * 1.04 for x in n) and len({x["r"] for x in n}) < 32 * 12
+
+
 def test_bins_respect_the_target_and_days(spark):
     rng = random.Random(3)
     files = [(f"2024-01-0{rng.randint(1, 2)}", f"f{i}", rng.choice([100, 500, 900, 5000]), 1, 0) for i in range(300)]
@@ -91,7 +114,9 @@ def test_bins_respect_the_target_and_days(spark):
 def test_directory_of_small_files(spark, tmp_path):
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     spark.range(400).repartition(40).write.parquet(src)
-    new = compact_directory(spark, src, out, target=4096)
+    new = compact_directory(spark, f"file://{src}", f"file://{out}", target=4096)
     assert new.count() == 400
     files = [p for p in (tmp_path / "out").rglob("*.parquet")]
     assert 0 < len(files) < 40
+    spark.range(400, 500).write.mode("append").parquet(src)  # later files aren't in the rewrite
+    assert committed(spark, f"file://{out}").rows.count() == 400
