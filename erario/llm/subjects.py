@@ -4,7 +4,7 @@ The unit that is clustered is the sentence, as a document may have several areas
 Terms (words and pairs of neighbours) are weighted by how well they discriminate the labelled areas, so the frames that
 sentences of all areas share carry no weight. The tree of clusters and the share of each area in each leaf are learnt
 from a bounded sample of labelled documents; every sentence of every document then goes down the tree, and a document
-gets each area that dominates the leaf of at least one sentence.
+gets each area that the mixture of the leaf of at least one sentence holds a good share of.
 """
 
 from __future__ import annotations
@@ -27,12 +27,10 @@ from erario.llm.text import plain, sentences
 SAMPLE_DOCS = 8_000
 #: Leaves of the tree at most, sentences in a leaf at least, and the mean cosine at which a cluster isn't split further.
 LEAVES, LEAST, TIGHT = 1200, 6, 0.96
-#: Share of a leaf's documents that carry an area, from which the leaf stands for it, and how often the usual share that must be.
-SHARE, LIFT = 0.55, 1.8
+#: Share of a leaf's mixture from which its sentences have an area.
+SHARE = 0.7
 #: Least length of a sentence's weighted vector, and least cosine to its leaf; below, a sentence has no subject.
 LEAST_NORM, LEAST_COSINE = 0.8, 0.3
-#: Weighted share from which a sentence's own terms outvote its leaf.
-OWN_TERMS = 0.6
 #: Sentences in which a term of the vocabulary occurs, at least, and its least weight.
 TERM_COUNT, TERM_WEIGHT = 4, 0.6
 
@@ -48,15 +46,13 @@ def terms(sentence: str) -> list[str]:
 
 @dataclass
 class Tree:
-    """Vocabulary, nodes of the bisection (children, centroids) and the area of each leaf (-1: none)."""
+    """Vocabulary, nodes of the bisection (children, centroids) and the mixture of areas in each leaf."""
 
     vocabulary: dict[str, int]
     weight: np.ndarray
-    rate: np.ndarray  # (terms, areas): share of each area among the sentences that hold the term
     children: np.ndarray  # (nodes, 2), -1 at leaves
     centroid: np.ndarray  # (nodes, terms)
-    mixture: np.ndarray  # (nodes, areas): share of the labelled documents
-    area: np.ndarray  # (nodes,)
+    mixture: np.ndarray  # (nodes, areas): what its sentences are about, as far as labels and terms tell; the rest to 1 is no area
     areas: list[str]
 
     def leaf_terms(self, node: int, n: int = 5) -> list[str]:
@@ -95,7 +91,6 @@ def fit(texts: list[str], labels: list[list[int]], areas: list[str], seed: int =
     has = np.zeros((len(texts), k))
     for i, ls in enumerate(labels):
         has[i, ls] = 1
-    usual = has.mean(0) if len(texts) else np.zeros(k)
     prior = has / np.maximum(has.sum(1, keepdims=True), 1)
     base = np.maximum(prior.mean(0) if len(texts) else np.ones(k) / k, 1e-9)
     of = np.repeat(np.arange(len(bags)), np.diff(start))
@@ -119,7 +114,7 @@ def fit(texts: list[str], labels: list[list[int]], areas: list[str], seed: int =
     keep = np.flatnonzero(gain > TERM_WEIGHT)
     renumber = np.full(v, -1)
     renumber[keep] = np.arange(len(keep))
-    names, weight, rate = [names[i] for i in keep], gain[keep], rate[keep]
+    names, weight = [names[i] for i in keep], gain[keep]
     tok2 = renumber[tok] if v else tok
     ok = tok2 >= 0
     # equal sentences are one point with a weight
@@ -188,22 +183,15 @@ def fit(texts: list[str], labels: list[list[int]], areas: list[str], seed: int =
             centroid.append(c)
         del members[node]
         leaves += 1
-    mixture, area = np.zeros((len(children), k)), np.full(len(children), -1)
+    mixture = np.zeros((len(children), k))
     where = np.full(len(points), -1)
     for node, sel in members.items():
         where[sel] = node
-    pairs = {(int(where[which[i]]), int(doc_of[i])) for i in used}
-    size = np.zeros(len(children))
-    for node, d in pairs:
-        mixture[node] += has[d]
-        size[node] += 1
-    for node in members:
-        if size[node]:
-            mixture[node] = (mixture[node] + usual) / (size[node] + 1)
-            top = int(mixture[node].argmax())
-            if mixture[node][top] >= max(SHARE, LIFT * usual[top]):
-                area[node] = top
-    return Tree({t: i for i, t in enumerate(names)}, weight.astype("float32"), rate.astype("float32").reshape(len(keep), k), np.array(children), np.array(centroid, dtype="float16").reshape(len(children), vn), mixture, area, areas)
+    leaf = where[which[used]] if len(used) else np.zeros(0, int)
+    for a in range(k):
+        mixture[:, a] = np.bincount(leaf, weights=part[used, a], minlength=len(children))
+    mixture /= np.maximum(np.bincount(leaf, minlength=len(children)), 1)[:, None]
+    return Tree({t: i for i, t in enumerate(names)}, weight.astype("float32"), np.array(children), np.array(centroid, dtype="float16").reshape(len(children), vn), mixture, areas)
 
 
 def assign(tree: Tree, texts: list[str | None]) -> list[list[str]]:
@@ -235,14 +223,9 @@ def assign(tree: Tree, texts: list[str | None]) -> list[list[str]]:
             c = [np.bincount(of[e], weights=w[e] * tree.centroid[kids[of[e], j], tok[e]], minlength=len(bags)) for j in (0, 1)]
             at = np.where(inner, np.where(c[1] > c[0], kids[:, 1], kids[:, 0]), at)
         cosine = np.bincount(of, weights=w * tree.centroid[at[of], tok], minlength=len(bags))
-        found = np.where(active & (cosine >= LEAST_COSINE), tree.area[at], -1)
-        # a leaf may hold sentences of two areas that share a word: the sentence's own terms decide between them
-        own = np.stack([np.bincount(of, weights=w * w * tree.rate[tok, j], minlength=len(bags)) for j in range(tree.rate.shape[1])], axis=1)
-        best = own.argmax(1)
-        found = np.where((found >= 0) & (best != found) & (own.max(1) >= OWN_TERMS), best, found)
-        for d, a in zip(doc, found.tolist()):
-            if a >= 0:
-                out[d].add(a)
+        found = (tree.mixture[at] >= SHARE) & (active & (cosine >= LEAST_COSINE))[:, None]
+        for b, a in zip(*np.nonzero(found)):
+            out[doc[b]].add(int(a))
     return [[tree.areas[a] for a in sorted(s)] for s in out]
 
 
@@ -293,6 +276,6 @@ def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, sample:
 
 
 def leaves(tree: Tree) -> pd.DataFrame:
-    """Report of the leaves: node, area, share of the area among its documents, discriminative terms."""
+    """Report of the leaves: node, areas, largest share of its mixture, discriminative terms."""
     at = np.flatnonzero(tree.children[:, 0] < 0)
-    return pd.DataFrame({"node": at, "assunto": [tree.areas[tree.area[i]] if tree.area[i] >= 0 else None for i in at], "parte": tree.mixture[at].max(1) if len(tree.areas) else 0.0, "termos": [", ".join(tree.leaf_terms(i)) for i in at]})
+    return pd.DataFrame({"node": at, "assuntos": [", ".join(tree.areas[a] for a in np.flatnonzero(tree.mixture[i] >= SHARE)) for i in at], "parte": tree.mixture[at].max(1) if len(tree.areas) else 0.0, "termos": [", ".join(tree.leaf_terms(i)) for i in at]})

@@ -65,7 +65,7 @@ def test_leaves_are_named_by_their_terms():
     areas = sorted(AREAS)
     tree = subjects.fit([t for _, t, _ in docs], [[areas.index(a) for a in m] for _, _, m in docs], areas)
     report = subjects.leaves(tree)
-    named = report[report.assunto == "saude"]
+    named = report[report.assuntos == "saude"]
     words = set(" ".join(named.termos).replace(",", " ").split())
     assert words & set(AREAS["saude"][0])
     assert (np.linalg.norm(tree.centroid.astype("float32"), axis=1) < 1.01).all()
