@@ -28,7 +28,7 @@ SAMPLE_DOCS = 8_000
 #: Leaves of the tree at most, sentences in a leaf at least, and the mean cosine at which a cluster isn't split further.
 LEAVES, LEAST, TIGHT = 1200, 6, 0.96
 #: Share of a leaf's mixture from which its sentences have an area.
-SHARE = 0.7
+SHARE = 0.8
 #: Least length of a sentence's weighted vector, and least cosine to its leaf; below, a sentence has no subject.
 LEAST_NORM, LEAST_COSINE = 0.8, 0.3
 #: Sentences in which a term of the vocabulary occurs, at least, and its least weight.
