@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
+from math import exp, lgamma, log, log1p
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from erario.session import written
+
 #: Trees, rows of a tree, and seed.
 TREES, ROWS, SEED = 400, 256, 42
 #: Raw score above which a row is flagged where no share is given.
@@ -86,13 +88,17 @@ def train(rows: DataFrame, key: str, features: Sequence[str], trees: int = TREES
     cols = list(features)
     schema = T.StructType([T.StructField("tree", T.IntegerType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
 
+    # a row is in at least one tree with this chance; only such rows reach Python, with the number of their trees to draw
+    some = 1.0 - (1.0 - p) ** trees
+    many = np.cumsum([0.0, *(exp(lgamma(trees + 1) - lgamma(k + 1) - lgamma(trees - k + 1) + k * log(p) + (trees - k) * log1p(-p)) for k in range(1, trees + 1))]) if p < 1 else None
+
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             x = pdf[cols].to_numpy(float)
             out_t, out_x = [], []
             for h, v in zip(pdf["__h"].to_numpy(), x):
                 rng = np.random.default_rng([seed, int(h) & 0xFFFFFFFFFFFFFFFF])
-                mine = np.arange(trees) if p >= 1 else rng.choice(trees, size=rng.binomial(trees, p), replace=False)
+                mine = np.arange(trees) if many is None else rng.choice(trees, size=min(trees, int(np.searchsorted(many, rng.random() * many[-1], "left"))), replace=False)
                 out_t.extend(mine.tolist())
                 out_x.extend([v] * len(mine))
             if out_t:
@@ -103,7 +109,8 @@ def train(rows: DataFrame, key: str, features: Sequence[str], trees: int = TREES
         x = np.array(sorted(map(tuple, pdf["x"])))  # the order of arrival must not matter
         return pd.DataFrame({"tree": [t], "nodes": [json.dumps(grow(x, np.random.default_rng([seed, t])))]})
 
-    drawn = rows.select(F.xxhash64(F.col(key)).alias("__h"), *[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(draw, schema)
+    chance = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    drawn = rows.filter(chance < F.lit(some)).select(F.xxhash64(F.col(key)).alias("__h"), *[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(draw, schema)
     got = drawn.groupBy("tree").applyInPandas(build, "tree int, nodes string").orderBy("tree").collect()  # at most `trees` rows
     return [np.array(json.loads(r["nodes"])) for r in got]
 
@@ -129,7 +136,7 @@ def scored(rows: DataFrame, features: Sequence[str], forest: list[np.ndarray], c
 
     contamination: "auto" flags raw scores above AUTO; a number flags about that share of the rows, the highest.
     """
-    raw = raw_scores(rows, features, forest).persist(StorageLevel.MEMORY_AND_DISK)  # read for the bounds and the result
+    raw = written(raw_scores(rows, features, forest), "scores")  # read for the bounds and the result
     if contamination == "auto":
         s = raw.agg(F.min("bruto").alias("__lo"), F.max("bruto").alias("__hi"), F.lit(AUTO).alias("__cut"))
     else:

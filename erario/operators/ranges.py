@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from erario.session import shuffle_width
+from erario.session import shuffle_width, written
 
 
 #: Stands for null in carried columns; the least bigint is no value of theirs.
@@ -84,8 +84,8 @@ def running(df: DataFrame, key: str, order: Sequence[str], value: str, ranges: i
             last, n0, t0 = k.iloc[-1], int(rows.iloc[-1]), float(totals.iloc[-1])
             yield pdf.assign(__range=np.int32(here), row_in_key=rows.astype("int64"), total_in_key=totals)
 
-    # kept, as a second computation would sample other cuts; a lost block is computed again with the same cuts
-    local = cut.mapInPandas(places, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    # written, as a second computation would sample other cuts
+    local = written(cut.mapInPandas(places, schema), "running")
     states = local.groupBy("__range", key).agg(F.max("row_in_key").alias("__n"), F.max(F.struct("row_in_key", "total_in_key"))["total_in_key"].alias("__t"))
     # only keys that end a range and start the next are carried: a row for each range and cut key
     w = Window.partitionBy(key).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,21 +10,24 @@ from pyspark.sql.window import Window
 
 from erario.functions.keys import surrogate_key
 
-#: Rows up to which a dimension is broadcast by ``lookup``.
-BROADCAST_ROWS = 100_000
+#: Estimated bytes up to which a dimension is broadcast by ``lookup``.
+BROADCAST_BYTES = 16 << 20
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), columns: Sequence[str] | None = None, tie: bool = True) -> DataFrame:
     """One row for each key: greatest ``order`` (nulls least), ties by a hash of the whole row, so re-runs agree.
 
     An aggregation with map-side combine, so copies of a hot key are reduced before the shuffle. Null keys are keys.
+    columns: the columns wanted besides the keys; only these and ``order`` are read where ``tie`` is off, which is for
+    orders that leave no tie but between rows whose wanted columns agree.
     """
-    rest = [c for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys and (columns is None or c in columns)]
+    out = [c for c in df.columns if c in keys or c in rest]
     if not rest:
-        return df.distinct()
-    tie = F.md5(F.to_json(F.struct(*sorted(df.columns))))
-    best = F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in order], tie))
-    return df.groupBy(*keys).agg(best.alias("__best")).select(*[c if c in keys else F.col("__best")[c].alias(c) for c in df.columns])
+        return df.select(*out).distinct()
+    by = [F.col(c) for c in order] + ([F.md5(F.to_json(F.struct(*sorted(df.columns))))] if tie or not order else [])
+    best = F.max_by(F.struct(*rest), F.struct(*by))
+    return df.groupBy(*keys).agg(best.alias("__best")).select(*[c if c in keys else F.col("__best")[c].alias(c) for c in out])
 
 
 def align(batch: DataFrame, target: DataFrame) -> DataFrame:
@@ -128,10 +131,14 @@ def overlap_sum(periods: DataFrame, keys: Sequence[str], first: str, last: str,
     return periods.join(total, [*keys, first, last], "left").withColumn(out, F.coalesce(out, F.lit(0.0)))
 
 
-def lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str] | Column, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Left join to a dimension that is broadcast only if it has at most ``rows`` rows; facts without a match stay."""
-    small = dim.limit(rows + 1).count() <= rows
-    return facts.join(F.broadcast(dim) if small else dim, on, "left")
+def lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str] | Column, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Left join to a dimension; facts without a match stay.
+
+    The dimension is broadcast if the optimizer's estimate of its size (from the files it is read from) is at most
+    ``most`` bytes; no job is run for that. Else adaptive execution decides by the size it meets.
+    """
+    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return facts.join(F.broadcast(dim) if size <= most else dim, on, "left")
 
 
 def dimension(values: DataFrame, column: str, key: str) -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from erario.functions.rules import AMOUNT
+from erario.functions import rules
 from erario.plans import gold
 
 
@@ -17,44 +16,36 @@ def top_anomalies(spark: SparkSession, d: str, n: int = 10) -> DataFrame:
     """The n contracts of highest score with body and creditor."""
     f = gold.scores(spark, d).select("id_contrato_origem", "ano", F.col("score_anomalia").alias("score")).filter("score is not null").join(gold.contracts(spark, d).drop("score_anomalia"), ["id_contrato_origem", "ano"])
     f = f.join(F.broadcast(gold.bodies(spark, d).select("sk_orgao", F.col("nome").alias("orgao"))), "sk_orgao", "left").join(gold.creditors(spark, d).select("sk_credor", F.col("nome").alias("credor")), "sk_credor", "left")
-    return f.select("id_contrato_origem", "ano", "score", F.col("valor_contrato").cast("double").alias("valor"), "orgao", "credor", F.col("flag_emergency").alias("emergencia")).orderBy(F.desc("score"), "id_contrato_origem", "ano").limit(n)
+    return f.select("id_contrato_origem", "ano", "score", F.col("valor_contrato").cast("double").alias("valor"), rules.reais(F.col("valor_contrato")).alias("valor_texto"), "orgao", "credor", F.col("flag_emergency").alias("emergencia")).orderBy(F.desc("score"), "id_contrato_origem", "ano").limit(n)
 
 
 def top_forecasts(spark: SparkSession, d: str, n: int = 10) -> DataFrame:
     """The n largest forecasts that are no backtest."""
     p = gold.forecasts(spark, d).filter("not is_backtest and valor_previsto_p50 is not null")
-    return p.select("codigo_orgao", "nome_orgao", F.col("ano_previsto").alias("ano"), F.col("trimestre_previsto").alias("trimestre"), F.col("valor_previsto_p10").alias("p10"), F.col("valor_previsto_p50").alias("p50"), F.col("valor_previsto_p90").alias("p90")).orderBy(F.desc("p50"), "codigo_orgao", "ano", "trimestre").limit(n)
+    return p.select("codigo_orgao", "nome_orgao", F.col("ano_previsto").alias("ano"), F.col("trimestre_previsto").alias("trimestre"), F.col("valor_previsto_p10").alias("p10"), F.col("valor_previsto_p50").alias("p50"), F.col("valor_previsto_p90").alias("p90"), *[rules.reais(F.col(f"valor_previsto_p{q}")).alias(f"p{q}_texto") for q in (10, 50, 90)]).orderBy(F.desc("p50"), "codigo_orgao", "ano", "trimestre").limit(n)
 
 
-def brl(v: float | None) -> str:
-    """``R$ 1.234,56``."""
-    return "não informado" if v is None else "R$ " + f"{v:,.2f}".replace(",", "_").replace(".", ",").replace("_", ".")
-
-
-def amounts_in(text: str) -> list[float]:
-    """All amounts in reais of a text."""
-    return [float(x.replace(".", "").replace(",", ".")) for x in re.findall(AMOUNT, text)]
-
-
-def unsupported(text: str, allowed: list[float], tolerance: float = 0.005) -> list[float]:
-    """Amounts of a text that no allowed value supports within the tolerance."""
-    return [v for v in amounts_in(text) if not any(abs(v - p) <= tolerance * max(abs(p), 1.0) for p in allowed)]
+def unsupported(spark: SparkSession, text: str, allowed: list[float]) -> list[float]:
+    """Amounts of a text that no allowed value supports, by the column rules."""
+    row = spark.createDataFrame([(text, allowed)], "t string, a array<double>")
+    return row.select(rules.unsupported(rules.amounts(F.col("t")), F.col("a")).alias("u")).first()["u"]
 
 
 def prompt(anomalies: list[dict], forecasts: list[dict]) -> str:
     """Facts as text for the writer; numbers stand as they may be quoted."""
-    a = [f"- contrato {x['id_contrato_origem']}/{x['ano']}: valor {brl(x['valor'])}, score {x['score'] * 100:.0f}%, órgão {x['orgao'] or 'não informado'}, credor {x['credor'] or 'não informado'}, emergencial: {'sim' if x['emergencia'] else 'não'}" for x in anomalies]
-    p = [f"- órgão {x['codigo_orgao']} ({x['nome_orgao'] or 'não informado'}), {x['ano']}-T{x['trimestre']}: {brl(x['p10'])} / {brl(x['p50'])} / {brl(x['p90'])}" for x in forecasts]
+    a = [f"- contrato {x['id_contrato_origem']}/{x['ano']}: valor {x['valor_texto']}, score {x['score'] * 100:.0f}%, órgão {x['orgao'] or 'não informado'}, credor {x['credor'] or 'não informado'}, emergencial: {'sim' if x['emergencia'] else 'não'}" for x in anomalies]
+    p = [f"- órgão {x['codigo_orgao']} ({x['nome_orgao'] or 'não informado'}), {x['ano']}-T{x['trimestre']}: {x['p10_texto']} / {x['p50_texto']} / {x['p90_texto']}" for x in forecasts]
     return "\n".join(["Contratos com maior score de anomalia:", *(a or ["- nenhum"]), "", "Maiores previsões de pagamento (p10 / p50 / p90):", *(p or ["- nenhuma"]), "", "Escreva um relatório e cite somente os valores acima."])
 
 
 @dataclass(frozen=True)
 class Report:
-    """Text of a report and the amounts in it that no fact supports."""
+    """Text of a report and the amounts in it that no fact supports, as numbers and as they are shown."""
 
     text: str
     prompt: str
     unsupported: list[float]
+    shown: list[str]
 
 
 def run(spark: SparkSession, d: str, write: Callable[[str], str], top_a: int = 10, top_p: int = 10) -> Report:
@@ -64,12 +55,14 @@ def run(spark: SparkSession, d: str, write: Callable[[str], str], top_a: int = 1
     q = prompt(a, p)
     text = write(q)
     allowed = [x["valor"] for x in a if x["valor"] is not None] + [x[k] for x in p for k in ("p10", "p50", "p90") if x[k] is not None]
-    return Report(text, q, unsupported(text, allowed))
+    bad = unsupported(spark, text, allowed)
+    shown = [r["t"] for r in spark.createDataFrame([(v,) for v in bad], "v double").select(rules.reais(F.col("v")).alias("t")).collect()]
+    return Report(text, q, bad, shown)
 
 
 def save(report: Report, path: str) -> None:
     """The report as a Markdown file."""
     with open(path, "w", encoding="utf-8") as f:
         f.write(report.text)
-        if report.unsupported:
-            f.write("\n\n> Valores sem apoio nos dados: " + ", ".join(brl(v) for v in report.unsupported) + "\n")
+        if report.shown:
+            f.write("\n\n> Valores sem apoio nos dados: " + ", ".join(report.shown) + "\n")

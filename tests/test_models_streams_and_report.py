@@ -76,6 +76,12 @@ def test_contamination_flags_about_that_share(spark):
     assert anomaly.train(df.limit(0), "k", ["v"], trees=5) == []
 
 
+def test_trees_get_about_their_rows(spark):
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("k"), F.col("id").cast("double").alias("v"))
+    sizes = [t[0, 4] for t in anomaly.train(df, "k", ["v"], trees=50)]
+    assert len(sizes) == 50 and abs(np.mean(sizes) - anomaly.ROWS) < 15 and np.std(sizes) < 40
+
+
 def test_score_summary(spark):
     s = anomaly.summary(spark.createDataFrame([(x,) for x in (0.1, 0.5, 0.72, 0.85, 0.91, 0.96, 1.0)], "score_anomalia double"))
     assert (s["acima_0.70"], s["acima_0.90"], s["acima_0.95"]) == (5, 3, 2)
@@ -138,4 +144,5 @@ def test_report_flags_invented_amounts(spark, data, tmp_path):
     assert bad.unsupported == [123456789012.34]
     report.save(bad, str(tmp_path / "r.md"))
     assert "sem apoio" in (tmp_path / "r.md").read_text()
-    assert report.unsupported("", [1.0]) == [] and report.brl(None) == "não informado"
+    assert "R$ 123.456.789.012,34" in (tmp_path / "r.md").read_text()
+    assert report.unsupported(spark, "", [1.0]) == []

@@ -149,3 +149,44 @@ def test_batch_validation(spark):
     with pytest.raises(quality.InvalidBatch):
         quality.validate_batch(many, ["id"], 0, "s")
     assert quality.batch_sample(many, 2, 0, "g", "o").count() == 4
+
+
+def test_appends_and_merges_write_only_what_they_must(spark, tmp_path):
+    lake = Lake(spark, f"file://{tmp_path}")
+    schema = "id int, ano int, v string, m date"
+    lake.merge("t", spark.createDataFrame([(i, 2020 + i % 3, "a", day(1)) for i in range(30)], schema), ["id", "ano"], "m", ["ano"])
+    before = {x["path"]: x["rows"] for x in lake.leaves("t")}
+    assert len(before) == 3 and sum(before.values()) == 30
+    assert lake.merge("t", spark.createDataFrame([(0, 2020, "b", day(2)), (99, 2020, "n", day(2)), (7, None, "x", day(2))], schema), ["id", "ano"], "m") == 32
+    after = {x["path"] for x in lake.leaves("t")}
+    assert len(after & set(before)) == 2  # the years that the batch has no row of are as they were
+    assert {r["v"] for r in lake.read("t").filter("id = 0").collect()} == {"b"}
+    assert lake.merge("t", spark.createDataFrame([(7, None, "y", day(3))], schema), ["id", "ano"], "m") == 32  # a null partition
+    kept = {x["path"] for x in lake.leaves("t")}
+    assert lake.append("t", spark.createDataFrame([(100, 2021, "z", day(3))], schema)) == 1
+    assert kept < {x["path"] for x in lake.leaves("t")} and lake.read("t").count() == 33
+    assert lake.add_columns("t", spark.createDataFrame([], "v string, w double").schema.fields) == ["w"]
+    assert {x["path"] for x in lake.leaves("t")} > kept and lake.read("t").filter("w is null").count() == 33
+    assert lake.compact("t", 1, "ano") == 33 and len(lake.leaves("t")) == 4
+    assert not lake.ensure("t", lake.read("t").schema) and lake.ensure("a.b.c.d", lake.read("t").schema, ["ano"])
+    assert lake.tables() == ["a.b.c.d", "t"] and lake.read("a.b.c.d").count() == 0
+    assert lake.append_stamped("n", spark.createDataFrame([(1,)], "x int")) == 1 and "coletado_em" in lake.read("n").columns
+
+
+def test_expiry_leaves_a_writer_at_work_alone(spark, tmp_path):
+    lake = Lake(spark, f"file://{tmp_path}")
+    for v in (1, 2):
+        lake.replace("t", spark.createDataFrame([(v,)], "x int"))
+    at_work = lake._write("t", spark.createDataFrame([(3,)], "x int"), [])  # not committed yet
+    assert len(lake.expire("t", 0)) == 1
+    assert (tmp_path / "t" / at_work[0]["path"]).exists() and lake.read("t").first()["x"] == 2
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("p-")]) == 2
+
+
+def test_dedup_reads_wanted_columns_only(spark, tmp_path):
+    p = str(tmp_path / "t")
+    spark.createDataFrame([(1, 2, "a", "x", "y"), (1, 3, "b", "x", "y")], "k int, o int, v string, w string, z string").write.parquet(p)
+    one = rel.dedup(spark.read.parquet(p), ["k"], ["o"], ["v"], tie=False)
+    assert one.columns == ["k", "v"] and one.first()["v"] == "b"
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "w:string" not in plan and "z:string" not in plan
