@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from erario.functions import rules
 from erario.functions.keys import plain_key, plain_number
+from erario.operators.lake import Lake
 from erario.operators.relational import calendar, dedup
 from erario.tables import table
 
@@ -16,56 +17,87 @@ from erario.tables import table
 FIRST_DAY, LAST_DAY = "2019-01-01", "2029-12-31"
 
 
-def contracts(spark: SparkSession, d: str) -> DataFrame:
+Wanted = Collection[str] | None
+
+
+def _upper(df: DataFrame, column: str, text: Column) -> DataFrame:
+    return df.withColumn(column, F.upper(text)) if column in df.columns else df
+
+
+def contracts(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
     """Contracts, the row of each (id, ano) loaded last, with plain keys."""
     rows = table(spark, d, "fato_contrato").withColumn("id_contrato_origem", plain_number(F.col("id_contrato_origem"))).filter("id_contrato_origem is not null and ano is not null")
     for k in ("sk_credor", "sk_orgao", "sk_modalidade", "sk_tempo"):
         rows = rows.withColumn(k, plain_key(F.col(k)))
-    one = dedup(rows, ["id_contrato_origem", "ano"], ["carregado_em", "num_spu", "sk_credor", "sk_orgao", "valor_contrato", "valor_pago", "status"])
-    return one.withColumn("status", F.upper("status"))
+    one = dedup(rows, ["id_contrato_origem", "ano"], ["carregado_em", "num_spu", "sk_credor", "sk_orgao", "valor_contrato", "valor_pago", "status"], columns, tie=False)
+    return _upper(one, "status", F.col("status"))
 
 
-def bank_orders(spark: SparkSession, d: str) -> DataFrame:
+def bank_orders(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
     """Bank orders, the row of each (id, ano) loaded last, with plain keys."""
     rows = table(spark, d, "fato_ordem_bancaria").filter("id_ob_origem is not null and ano is not null").withColumn("sk_orgao", plain_key(F.col("sk_orgao"))).withColumn("sk_tempo", plain_key(F.col("sk_tempo")))
-    one = dedup(rows, ["id_ob_origem", "ano"], ["carregado_em", "sk_orgao", "valor", "status", "natureza"])
-    return one.withColumn("status", F.upper(F.trim("status")))
+    one = dedup(rows, ["id_ob_origem", "ano"], ["carregado_em", "sk_orgao", "valor", "status", "natureza"], columns, tie=False)
+    return _upper(one, "status", F.trim("status"))
 
 
-def commitments(spark: SparkSession, d: str) -> DataFrame:
+def commitments(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
     """Commitments as typed rows: linha_id, ano, data, codigoug, codigocredor, cod_contrato, valor, modalidade."""
     e = table(spark, d, "empenhos")
     return e.select("linha_id", "ano", rules.as_day(F.col("dataemissao")).alias("data"), "codigoug", "codigocredor", F.col("codprocesso").alias("cod_contrato"), rules.money(F.col("valor")).alias("valor"), F.translate(F.upper("modalidade"), "Á", "A").alias("modalidade"))
 
 
-def bodies(spark: SparkSession, d: str) -> DataFrame:
+def bodies(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
     """Public bodies, one row for each (codigo, ano): the one loaded last."""
-    return dedup(table(spark, d, "dim_orgao").select("sk_orgao", "codigo", "ano", "nome", "sigla", "tipo_administracao", "carregado_em"), ["codigo", "ano"], ["carregado_em", "sk_orgao"])
+    return dedup(table(spark, d, "dim_orgao").select("sk_orgao", "codigo", "ano", "nome", "sigla", "tipo_administracao", "carregado_em"), ["codigo", "ano"], ["carregado_em", "sk_orgao"], columns, tie=False)
 
 
-def creditors(spark: SparkSession, d: str) -> DataFrame:
+def creditors(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
     """Versions of creditors, each once."""
-    return dedup(table(spark, d, "dim_credor").select("sk_credor", "cnpj_cpf", "nome", "tipo", "historico_infringement", "valido_de", "valido_ate", "versao_atual", "carregado_em"), ["sk_credor"], ["carregado_em"])
+    return dedup(table(spark, d, "dim_credor").select("sk_credor", "cnpj_cpf", "nome", "tipo", "historico_infringement", "valido_de", "valido_ate", "versao_atual", "carregado_em"), ["sk_credor"], ["carregado_em"], columns, tie=False)
 
 
-def scores(spark: SparkSession, d: str) -> DataFrame:
+def scores(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
     """Scores of contracts, the last one of each (id, ano)."""
     rows = table(spark, d, "score_anomalia_contrato").withColumn("id_contrato_origem", plain_number(F.col("id_contrato_origem"))).filter("id_contrato_origem is not null and ano is not null")
-    return dedup(rows, ["id_contrato_origem", "ano"], ["scored_at", "score_anomalia"])
+    return dedup(rows, ["id_contrato_origem", "ano"], ["scored_at", "score_anomalia"], columns, tie=False)
 
 
-def forecasts(spark: SparkSession, d: str) -> DataFrame:
+def forecasts(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
     """Forecasts, the last one of each body, quarter and kind."""
     rows = table(spark, d, "previsao_pagamento_orgao").withColumn("codigo_orgao", plain_number(F.col("codigo_orgao"))).filter("codigo_orgao is not null")
-    return dedup(rows, ["codigo_orgao", "ano_previsto", "trimestre_previsto", "is_backtest"], ["scored_at", "valor_previsto_p50", "nome_orgao"])
+    return dedup(rows, ["codigo_orgao", "ano_previsto", "trimestre_previsto", "is_backtest"], ["scored_at", "valor_previsto_p50", "nome_orgao"], columns, tie=False)
 
 
-def days(spark: SparkSession, d: str) -> DataFrame:
+def days(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
     """Calendar."""
     return calendar(FIRST_DAY, LAST_DAY, spark)
 
 
-FRAMES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"fc": contracts, "fo": bank_orders, "fe": commitments, "og": bodies, "cr": creditors, "sc": scores, "pv": forecasts, "te": days}
+FRAMES: dict[str, Callable[..., DataFrame]] = {"fc": contracts, "fo": bank_orders, "fe": commitments, "og": bodies, "cr": creditors, "sc": scores, "pv": forecasts, "te": days}
+#: Stored tables: frame -> (name, partition columns).
+STORED: dict[str, tuple[str, tuple[str, ...]]] = {
+    "fc": ("fato_contrato", ("ano",)), "fo": ("fato_ordem_bancaria", ("ano",)), "fe": ("fato_empenho", ("ano",)), "og": ("dim_orgao", ()), "cr": ("dim_credor", ()),
+    "sc": ("score_anomalia_contrato", ()), "pv": ("previsao_pagamento_orgao", ()), "te": ("dim_tempo", ()),
+}
+
+
+def build(spark: SparkSession, d: str, lake: Lake, now: Column | None = None, select: Collection[str] | None = None) -> dict[str, int]:
+    """Rebuild the stored tables from the data directory ``d``: {name: rows}.
+
+    Each table is replaced as a whole and stamped ``gerado_em`` with ``now``; facts are partitioned by ano, so later
+    readers need neither the raw tables nor another deduplication. select: only these frames or table names.
+    """
+    out = {}
+    for frame, (name, parts) in STORED.items():
+        if select is None or frame in select or name in select:
+            out[name] = lake.replace(f"gold.{name}", FRAMES[frame](spark, d).withColumn("gerado_em", F.current_timestamp() if now is None else now), parts, "build")
+    return out
+
+
+def stored(lake: Lake) -> dict[str, Callable[..., DataFrame]]:
+    """The frames over stored tables, in place of FRAMES; Catalyst prunes their columns down to the scan."""
+    return {frame: (lambda spark, d, columns=None, name=name: lake.read(f"gold.{name}").drop("gerado_em")) for frame, (name, _) in STORED.items()}
+
 
 _PLAIN_NUMBER = "regexp_replace(lower(trim({c})), '^0+(.)', '\\1')"
 _ID = _PLAIN_NUMBER.format(c="id_contrato_origem")

@@ -27,11 +27,15 @@ def frames_of(body: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", body)))
 
 
-def run(body: str):
-    """Query for Spark from a body."""
+def run(body: str, frames: dict | None = None):
+    """Query for Spark from a body, over the frames of the data directory or those given (``gold.stored``).
 
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spark.sql(body, **{n: gold.FRAMES[n](spark, sf_dir) for n in frames_of(body)})
+    A frame is built with only the columns whose names occur in the body.
+    """
+    words = set(re.findall(r"\w+", body))
+
+    def query(spark: SparkSession, sf_dir: str = "") -> DataFrame:
+        return spark.sql(body, **{n: (frames or gold.FRAMES)[n](spark, sf_dir, words) for n in frames_of(body)})
 
     return query
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Records of a file at most.
-FILE_RECORDS = 20_000
+from erario.operators.compaction import replace_text
+
+#: Records of a file at most, and the file that an extract without rows leaves.
+FILE_RECORDS, EMPTY = 20_000, "sem_registros.json"
 
 
 def _glob(spark: SparkSession, pattern: str) -> list[str]:
@@ -19,10 +22,19 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def batch_dirs(spark: SparkSession, root: str, source: str, run_date: str) -> list[str]:
-    """Directories of one extraction date, flat or below year and month, sorted; none where the root is missing."""
-    base = f"{root.rstrip('/')}/{source}"
-    leaf = f"data_extracao={run_date}"
-    return sorted({*_glob(spark, f"{base}/{leaf}"), *_glob(spark, f"{base}/*/{leaf}"), *_glob(spark, f"{base}/*/*/{leaf}")})
+    """Directories of one extraction date at any depth below the source, sorted; none where the root is missing."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{source}")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, todo = [], [p] if fs.exists(p) else []
+    while todo:
+        for x in fs.listStatus(todo.pop()):
+            if x.isDirectory():
+                name = x.getPath().getName()
+                if name == f"data_extracao={run_date}":
+                    found.append(str(x.getPath().toString()))
+                elif not name.startswith("data_extracao="):
+                    todo.append(x.getPath())
+    return sorted(found)
 
 
 def batch_files(spark: SparkSession, directory: str) -> list[str]:
@@ -59,13 +71,13 @@ def sample_batches(spark: SparkSession, files: Sequence[str], limit: int = 8) ->
 def write_batch(df: DataFrame, root: str, source: str, run_date: str, day: Column | None) -> None:
     """Write an extract as JSON lines below ano/mes of its event date, or flat where a row has none.
 
-    An extract without rows leaves an empty directory with its success marker, so that "found none" is told from "did
-    not run".
+    An extract without rows leaves a file with an empty array, so that "found none" is told from "did not run".
     """
+    spark = df.sparkSession
     base = f"{root.rstrip('/')}/{source}"
     leaf = f"data_extracao={run_date}"
     if df.isEmpty():
-        df.limit(0).coalesce(1).write.mode("overwrite").json(f"{base}/{leaf}")
+        write_array(spark, [], f"{base}/{leaf}/{EMPTY}")
         return
     known = F.lit(None).cast("date") if day is None else F.try_to_date(F.substring(day, 1, 10), "yyyy-MM-dd")
     rows = df.withColumn("__day", known)
@@ -77,7 +89,15 @@ def write_batch(df: DataFrame, root: str, source: str, run_date: str, day: Colum
         bare.write.mode("overwrite").option("maxRecordsPerFile", FILE_RECORDS).json(f"{base}/{leaf}")
 
 
-def extract_summary(df: DataFrame, day: str) -> dict:
-    """{"registros": n, "data_maxima": text or None}; dates compare by their first ten letters."""
+def write_array(spark: SparkSession, records: Sequence[dict], path: str) -> None:
+    """Write records that the driver holds (a page, a marker) as one JSON array, over what is there; other types as text."""
+    replace_text(spark, path, json.dumps(list(records), ensure_ascii=False, default=str))
+
+
+def extract_summary(df: DataFrame, day: str, pages: int | None = None) -> dict:
+    """{"registros": n, "data_maxima": text or None, "paginas": pages}; dates compare by their first ten letters.
+
+    paginas only where ``pages`` is given.
+    """
     r = df.agg(F.count("*").alias("n"), F.max(F.substring(F.col(day), 1, 10)).alias("m")).first()
-    return {"registros": r["n"], "data_maxima": r["m"]}
+    return {"registros": r["n"], "data_maxima": r["m"]} | ({} if pages is None else {"paginas": pages})

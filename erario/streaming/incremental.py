@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from erario.operators.lake import Lake
+from erario.session import written
 
 #: Days that a run goes back behind the watermark, for late rows.
 LOOKBACK_DAYS = 7
@@ -81,3 +82,22 @@ def chain(spark: SparkSession, steps: Sequence[tuple[str, Callable[[], object]]]
         step()
         done.append(name)
     return done
+
+
+def collect(lake: Lake, source: str, read: Callable[[str | None], DataFrame], target: str, stamp: str = "timestamp_evento") -> int:
+    """Append what a collector reads since its last success; returns the rows.
+
+    The state of each source is the latest ``stamp`` that was stored, kept only after the append: a run that fails leaves
+    the interval to the next one. A run without rows leaves the state. Rows of the state's own instant are read again
+    and left out if they are stored.
+    """
+    since = watermark(lake, f"coletor.{source}")
+    rows = read(since)
+    if since is not None and lake.exists(target):
+        known = lake.read(target).filter(F.col(stamp).cast("string") >= since).select(*rows.columns)
+        rows = rows.filter(F.col(stamp).cast("string") >= since).exceptAll(known)
+    rows = written(rows, "coletado")
+    n = lake.append_stamped(target, rows)
+    if n:
+        advance(lake, f"coletor.{source}", rows.agg(F.max(F.col(stamp).cast("string")).alias("m")).first()["m"])
+    return n
