@@ -131,6 +131,11 @@ def _panel(panel: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
     return p.orderBy(F.xxhash64("codigo", "ano", "trimestre")).limit(limit) if limit else p
 
 
+def bounded(panel: DataFrame) -> pd.DataFrame:
+    """The rows that fits may read, as pandas: at most FIT_ROWS."""
+    return _panel(panel).toPandas()
+
+
 def fit_many(spark: SparkSession, panel: pd.DataFrame, jobs: list[dict]) -> list[dict]:
     """Fit and judge many settings at once, one task for each: jobs hold id, params, quantile, train and test quarters.
 
@@ -172,6 +177,12 @@ def _models(spark: SparkSession, panel: pd.DataFrame, params: Params, quarters:
     return [json.loads(r["model"]) for r in sorted(fit_many(spark, panel, jobs), key=lambda r: r["id"])]
 
 
+def final_models(spark: SparkSession, panel: pd.DataFrame, params: Params) -> dict[float, dict]:
+    """The model of each quantile over all quarters with a known target, to be kept."""
+    qs = _quarters(panel)
+    return dict(zip(QUANTILES, _models(spark, panel, params, qs))) if qs else {}
+
+
 def _quarters(panel: pd.DataFrame) -> list[tuple[int, int]]:
     known = panel.dropna(subset=["alvo"])
     return sorted({(int(a), int(b)) for a, b in zip(known["ano"], known["trimestre"])})
@@ -183,7 +194,7 @@ def forecasts(spark: SparkSession, panel: DataFrame, params: Params | None = Non
     Rows without a known target give forecasts; the last closed quarters give backtests by models that saw earlier
     quarters only. The two never meet in a row. An empty panel gives an empty result.
     """
-    pdf = _panel(panel).toPandas()  # bounded by FIT_ROWS
+    pdf = bounded(panel)
     schema = "codigo string, ano_previsto int, trimestre_previsto int, p10 double, p50 double, p90 double, is_backtest boolean, real double"
     qs = _quarters(pdf)
     if not qs:
