@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from erario.plans import composed, serve
+from erario.plans import checked, composed, serve  # noqa: F401  (checked registers its queries in composed)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: serve.run(b) for n, b in serve.BODIES.items()} | composed.QUERIES
 SQL: dict[str, str] = {n: serve.sql(b) for n, b in serve.BODIES.items()} | composed.SQL

@@ -58,24 +58,6 @@ def op_merge(spark: SparkSession, d: str) -> DataFrame:
     return merged.select("id_ob_origem", "ano", "valor", F.upper(F.trim("status")).alias("status"), F.date_format("carregado_em", "yyyy-MM-dd HH:mm:ss").alias("carregado_em"))
 
 
-_SCD_SOURCE = "SELECT * FROM (SELECT regexp_replace(cnpj_cpf, '[^0-9]', '', 'g') AS cnpj_cpf, trim(nome) AS nome, tipo, historico_infringement, row_number() OVER (PARTITION BY regexp_replace(cnpj_cpf, '[^0-9]', '', 'g') ORDER BY carregado_em DESC, nome DESC NULLS LAST, tipo DESC NULLS LAST, historico_infringement DESC NULLS LAST) AS rn FROM snapshot_credor WHERE data_snapshot = (SELECT min(data_snapshot) FROM snapshot_credor)) WHERE rn = 1"
-
-
-# OP-SCD
-@query(f"""WITH src AS ({_SCD_SOURCE}), cur AS (SELECT DISTINCT cnpj_cpf, nome, tipo, historico_infringement, CAST(valido_de AS TIMESTAMP) AS valido_de FROM dim_credor WHERE versao_atual),
-  j AS (SELECT c.cnpj_cpf AS ck, c.nome AS cn, c.tipo AS ct, c.historico_infringement AS ch, c.valido_de AS cd, s.cnpj_cpf AS sk, s.nome AS sn, s.tipo AS st, s.historico_infringement AS sh, c.cnpj_cpf IS NOT NULL AND s.cnpj_cpf IS NOT NULL AND (c.nome IS DISTINCT FROM s.nome OR c.tipo IS DISTINCT FROM s.tipo OR c.historico_infringement IS DISTINCT FROM s.historico_infringement) AS changed FROM cur c FULL OUTER JOIN src s ON c.cnpj_cpf = s.cnpj_cpf)
-SELECT ck AS cnpj_cpf, cn AS nome, ct AS tipo, ch AS historico_infringement, strftime(cd, '%Y-%m-%d %H:%M:%S') AS valido_de, CASE WHEN changed THEN '2025-02-01 00:00:00' END AS valido_ate FROM j WHERE ck IS NOT NULL
-UNION ALL SELECT sk, sn, st, sh, '2025-02-01 00:00:00', NULL FROM j WHERE ck IS NULL OR changed""")
-def op_scd(spark: SparkSession, d: str) -> DataFrame:
-    """One SCD2 step only: the earliest extract; later ones are left out, as in the SQL (p4_versions takes them all)."""
-    s = table(spark, d, "snapshot_credor").withColumn("cnpj_cpf", F.regexp_replace("cnpj_cpf", "[^0-9]", "")).withColumn("nome", F.trim("nome"))
-    first = s.agg(F.min("data_snapshot").alias("__m"))
-    src = rel.dedup(s.join(F.broadcast(first), F.col("data_snapshot") == F.col("__m")).select("cnpj_cpf", "nome", "tipo", "historico_infringement", "carregado_em"), ["cnpj_cpf"], ["carregado_em", "nome", "tipo", "historico_infringement"])
-    cur = table(spark, d, "dim_credor").filter("versao_atual").select("cnpj_cpf", "nome", "tipo", "historico_infringement", F.col("valido_de").cast("timestamp").alias("valido_de"), F.lit(None).cast("timestamp").alias("valido_ate")).distinct()
-    out = rel.scd2(cur, src, "cnpj_cpf", ["nome", "tipo", "historico_infringement"], F.lit("2025-02-01 00:00:00").cast("timestamp"))
-    return out.withColumn("valido_de", F.date_format("valido_de", "yyyy-MM-dd HH:mm:ss")).withColumn("valido_ate", F.date_format("valido_ate", "yyyy-MM-dd HH:mm:ss"))
-
-
 # OP-ASOF, JN-03, WN-06
 @query("""SELECT linha_id, sk_credor FROM (SELECT e.linha_id, c.sk_credor, row_number() OVER (PARTITION BY e.linha_id ORDER BY CASE WHEN CAST(c.valido_de AS DATE) <= e.data AND (c.valido_ate IS NULL OR e.data < CAST(c.valido_ate AS DATE)) THEN 0 ELSE 1 END, c.valido_de, c.valido_ate NULLS FIRST, c.sk_credor) AS rn
 FROM fe e LEFT JOIN cr c ON e.codigocredor = c.cnpj_cpf) WHERE rn = 1""", "fe", "cr")
@@ -156,15 +138,6 @@ def ag14_mode(spark: SparkSession, d: str) -> DataFrame:
     return rel.mode_per_group(gold.bank_orders(spark, d).filter("sk_orgao is not null"), ["sk_orgao"], "natureza")
 
 
-_TOP3 = ", top AS (SELECT natureza FROM fo WHERE natureza IS NOT NULL GROUP BY natureza ORDER BY count(*) DESC, natureza LIMIT 3) "
-
-
-# AG-15
-@query(_TOP3 + "SELECT CASE WHEN natureza IN (SELECT natureza FROM top) THEN natureza ELSE 'OUTROS' END AS natureza, count(*) AS linhas FROM fo GROUP BY 1", "fo")
-def ag15_top_other(spark: SparkSession, d: str) -> DataFrame:
-    return rel.top_or_other(gold.bank_orders(spark, d).select("natureza"), "natureza", 3).groupBy("natureza").agg(F.count("*").alias("linhas"))
-
-
 # AG-27
 @query("SELECT CAST(floor(round((CAST(valor_contrato AS DOUBLE) - lo) / (hi - lo), 9) * 10) AS INTEGER) AS decil, count(*) AS linhas FROM fc, (SELECT CAST(min(valor_contrato) AS DOUBLE) AS lo, CAST(max(valor_contrato) AS DOUBLE) AS hi FROM fc) WHERE valor_contrato IS NOT NULL GROUP BY 1", "fc")
 def ag27_scaled(spark: SparkSession, d: str) -> DataFrame:
@@ -284,13 +257,14 @@ def op_recon(spark: SparkSession, d: str) -> DataFrame:
 
 def checks(spark: SparkSession, d: str) -> list[quality.Check]:
     """The data tests of the model."""
-    fc, fo, cr, og, sc = (gold.FRAMES[n](spark, d) for n in ("fc", "fo", "cr", "og", "sc"))
+    fc, fo, cr, sc = (gold.FRAMES[n](spark, d) for n in ("fc", "fo", "cr", "sc"))
+    raw = {t: table(spark, d, t) for t in ("fato_contrato", "fato_ordem_bancaria", "dim_orgao", "score_anomalia_contrato")}
     load = table(spark, d, "bronze_ingestao")
     return [
-        quality.Check("contrato_chave_unica", "error", quality.unique(fc, ["id_contrato_origem", "ano"])),
-        quality.Check("ordem_chave_unica", "error", quality.unique(fo, ["id_ob_origem", "ano"])),
-        quality.Check("orgao_chave_unica", "error", quality.unique(og, ["codigo", "ano"])),
-        quality.Check("score_chave_unica", "error", quality.unique(sc, ["id_contrato_origem", "ano"])),
+        quality.Check("contrato_chave_unica", "warn", quality.unique(raw["fato_contrato"], ["id_contrato_origem", "ano"])),
+        quality.Check("ordem_chave_unica", "warn", quality.unique(raw["fato_ordem_bancaria"], ["id_ob_origem", "ano"])),
+        quality.Check("orgao_chave_unica", "warn", quality.unique(raw["dim_orgao"], ["codigo", "ano"])),
+        quality.Check("score_chave_unica", "warn", quality.unique(raw["score_anomalia_contrato"], ["id_contrato_origem", "ano"])),
         quality.Check("ingestao_chave_unica", "warn", quality.unique(load, ["carga_id"])),
         quality.Check("contrato_sem_orgao", "warn", quality.not_null(fc, "sk_orgao")),
         quality.Check("credor_sem_tipo", "warn", quality.not_null(cr, "tipo")),
@@ -303,7 +277,10 @@ def checks(spark: SparkSession, d: str) -> list[quality.Check]:
 
 
 # OP-DQ, AG-16, AG-29, PRJ-05
-@query("""SELECT 'contrato_chave_unica' AS teste, 'error' AS severidade, 0 AS violacoes UNION ALL SELECT 'ordem_chave_unica', 'error', 0 UNION ALL SELECT 'orgao_chave_unica', 'error', 0 UNION ALL SELECT 'score_chave_unica', 'error', 0
+@query("""SELECT 'contrato_chave_unica' AS teste, 'warn' AS severidade, (SELECT count(*) FROM (SELECT 1 FROM fato_contrato WHERE id_contrato_origem IS NOT NULL AND ano IS NOT NULL GROUP BY id_contrato_origem, ano HAVING count(*) > 1)) AS violacoes
+UNION ALL SELECT 'ordem_chave_unica', 'warn', (SELECT count(*) FROM (SELECT 1 FROM fato_ordem_bancaria WHERE id_ob_origem IS NOT NULL AND ano IS NOT NULL GROUP BY id_ob_origem, ano HAVING count(*) > 1))
+UNION ALL SELECT 'orgao_chave_unica', 'warn', (SELECT count(*) FROM (SELECT 1 FROM dim_orgao WHERE codigo IS NOT NULL AND ano IS NOT NULL GROUP BY codigo, ano HAVING count(*) > 1))
+UNION ALL SELECT 'score_chave_unica', 'warn', (SELECT count(*) FROM (SELECT 1 FROM score_anomalia_contrato WHERE id_contrato_origem IS NOT NULL AND ano IS NOT NULL GROUP BY id_contrato_origem, ano HAVING count(*) > 1))
 UNION ALL SELECT 'ingestao_chave_unica', 'warn', (SELECT count(*) FROM (SELECT carga_id FROM bronze_ingestao WHERE carga_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
 UNION ALL SELECT 'contrato_sem_orgao', 'warn', (SELECT count(*) FROM fc WHERE sk_orgao IS NULL)
 UNION ALL SELECT 'credor_sem_tipo', 'warn', (SELECT count(*) FROM cr WHERE tipo IS NULL)
@@ -456,22 +433,6 @@ def ag24_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return one.groupBy(F.col("data_snapshot").cast("string").alias("extrato")).agg(F.sum("n").alias("linhas"), (F.sum("n") - F.count("*")).alias("repetidas"))
 
 
-# AG-29, TM-01, TM-04: newest load of each source and whether it has enough rows
-@query("""SELECT fonte, CAST(max(dia) AS VARCHAR) AS marca, count(*) AS cargas, max(registros) >= 100 AS completa FROM (SELECT lower(trim(fonte)) AS fonte, registros, CASE WHEN regexp_matches(trim(data_extracao), '^[0-9]{2}/') THEN CAST(strptime(trim(data_extracao), '%d/%m/%Y') AS DATE) ELSE CAST(substr(trim(data_extracao), 1, 10) AS DATE) END AS dia FROM bronze_ingestao) GROUP BY fonte""")
-def tm01_marks(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "bronze_ingestao").select(F.lower(F.trim("fonte")).alias("fonte"), "registros", rules.as_day(F.trim("data_extracao")).alias("dia"))
-    return b.groupBy("fonte").agg(F.max("dia").cast("string").alias("marca"), F.count("*").alias("cargas"), (F.max("registros") >= 100).alias("completa"))
-
-
-# SNK-16: rows that a retention of 90 days keeps, counted by day
-@query("SELECT CAST(CAST(coletado_em AS DATE) AS VARCHAR) AS dia, count(*) AS linhas FROM sessoes_ssh WHERE coletado_em >= (SELECT max(coletado_em) FROM sessoes_ssh) - INTERVAL 90 DAY GROUP BY 1")
-def snk16_retained(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "sessoes_ssh")
-    newest = s.agg(F.max("coletado_em").alias("__m"))
-    kept = s.crossJoin(F.broadcast(newest)).filter(F.col("coletado_em") >= F.col("__m") - F.make_dt_interval(F.lit(90)))  # one row
-    return kept.groupBy(F.to_date("coletado_em").cast("string").alias("dia")).agg(F.count("*").alias("linhas"))
-
-
 # OP-DQHIST: the warnings of a run
 @query("SELECT teste, violacoes FROM (SELECT 'contrato_sem_orgao' AS teste, (SELECT count(*) FROM fc WHERE sk_orgao IS NULL) AS violacoes UNION ALL SELECT 'ordem_valor_nao_negativo', (SELECT count(*) FROM fo WHERE valor < 0) UNION ALL SELECT 'credor_sem_tipo', (SELECT count(*) FROM cr WHERE tipo IS NULL)) WHERE violacoes > 0", "fc", "fo", "cr")
 def op_dqhist(spark: SparkSession, d: str) -> DataFrame:

@@ -65,7 +65,7 @@ def scores(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
 def forecasts(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
     """Forecasts, the last one of each body, quarter and kind."""
     rows = table(spark, d, "previsao_pagamento_orgao").withColumn("codigo_orgao", plain_number(F.col("codigo_orgao"))).filter("codigo_orgao is not null")
-    return dedup(rows, ["codigo_orgao", "ano_previsto", "trimestre_previsto", "is_backtest"], ["scored_at", "valor_previsto_p50", "nome_orgao"], columns, tie=False)
+    return dedup(rows, ["codigo_orgao", "ano_previsto", "trimestre_previsto", "is_backtest"], ["scored_at", "valor_previsto_p50", "nome_orgao", "valor_previsto_p10", "valor_previsto_p90", "model_version"], columns, tie=False)
 
 
 def days(spark: SparkSession, d: str, columns: Wanted = None) -> DataFrame:
@@ -117,7 +117,7 @@ SQL: dict[str, str] = {
     "cr": "cr AS (SELECT sk_credor, cnpj_cpf, nome, tipo, historico_infringement, valido_de, valido_ate, versao_atual, carregado_em FROM (SELECT *, row_number() OVER (PARTITION BY sk_credor ORDER BY carregado_em DESC NULLS LAST) AS rn FROM dim_credor) WHERE rn = 1)",
     "sc": f"""sc AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id_contrato_origem, ano ORDER BY scored_at DESC NULLS LAST, score_anomalia DESC NULLS LAST) AS rn
         FROM (SELECT * REPLACE ({_ID} AS id_contrato_origem) FROM score_anomalia_contrato WHERE trim(id_contrato_origem) <> '' AND ano IS NOT NULL)) WHERE rn = 1)""",
-    "pv": f"""pv AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY codigo_orgao, ano_previsto, trimestre_previsto, is_backtest ORDER BY scored_at DESC NULLS LAST, valor_previsto_p50 DESC NULLS LAST, nome_orgao DESC NULLS LAST) AS rn
+    "pv": f"""pv AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY codigo_orgao, ano_previsto, trimestre_previsto, is_backtest ORDER BY scored_at DESC NULLS LAST, valor_previsto_p50 DESC NULLS LAST, nome_orgao DESC NULLS LAST, valor_previsto_p10 DESC NULLS LAST, valor_previsto_p90 DESC NULLS LAST, model_version DESC NULLS LAST) AS rn
         FROM (SELECT * REPLACE ({_PLAIN_NUMBER.format(c="codigo_orgao")} AS codigo_orgao) FROM previsao_pagamento_orgao WHERE trim(codigo_orgao) <> '')) WHERE rn = 1)""",
     "te": f"""te AS (SELECT md5(strftime(data, '%Y-%m-%d')) AS sk_tempo, data, CAST(year(data) AS INTEGER) AS ano, CAST(quarter(data) AS INTEGER) AS trimestre, CAST(month(data) AS INTEGER) AS mes, CAST(isodow(data) AS INTEGER) AS dia_semana
         FROM (SELECT CAST(unnest(generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE) AS data))""",

@@ -57,32 +57,22 @@ BODIES: dict[str, str] = {
     "q04_totals": "SELECT count(*) AS contratos, coalesce(CAST(sum(valor_contrato) AS DECIMAL(18,2)), 0) AS contratado, coalesce(CAST(sum(valor_pago) AS DECIMAL(18,2)), 0) AS pago, CASE WHEN sum(valor_contrato) <> 0 THEN round(CAST(sum(valor_pago) AS DOUBLE) / CAST(sum(valor_contrato) AS DOUBLE) * 100, 3) ELSE 0 END AS pct_usado FROM {fc}",
     # Q-06, AG-04, SL-01, SL-02
     "q06_bodies_top": "SELECT o.nome, o.sigla, CAST(sum(f.valor_pago) AS DECIMAL(18,2)) AS pago, CAST(sum(f.valor_empenhado) AS DECIMAL(18,2)) AS empenhado FROM {fc} f JOIN {og} o ON f.sk_orgao = o.sk_orgao GROUP BY o.nome, o.sigla ORDER BY pago DESC NULLS LAST, o.nome, o.sigla LIMIT 10",
-    # Q-06, SL-03, AG-18
-    "q06_bodies_share": "SELECT nome, pago, empenhado, round(CAST(pago AS DOUBLE) / CAST(empenhado AS DOUBLE) * 100, 3) AS pct FROM (SELECT o.nome, CAST(sum(f.valor_pago) AS DECIMAL(18,2)) AS pago, CAST(sum(f.valor_empenhado) AS DECIMAL(18,2)) AS empenhado FROM {fc} f JOIN {og} o ON f.sk_orgao = o.sk_orgao GROUP BY o.nome) x WHERE empenhado > 1000000 ORDER BY pct DESC NULLS LAST, nome LIMIT 5",
-    # Q-08, JN-01, JN-02, JN-04 (mixed inner and left joins), PRJ-08, SL-04
-    "q08_anomalies": "SELECT f.id_contrato_origem, f.ano, f.num_spu, o.nome AS orgao, c.nome AS credor, c.tipo, CAST(t.data AS STRING) AS data, f.valor_contrato, f.valor_pago, f.status, f.flag_emergency, round(s.score_anomalia, 6) AS score FROM {fc} f JOIN {sc} s ON s.id_contrato_origem = f.id_contrato_origem AND s.ano = f.ano JOIN {og} o ON f.sk_orgao = o.sk_orgao LEFT JOIN {cr} c ON f.sk_credor = c.sk_credor LEFT JOIN {te} t ON f.sk_tempo = t.sk_tempo WHERE s.score_anomalia >= 0.7",
     # Q-10, AG-05, AG-26
     "q10_value_bodies": "SELECT CAST(sum(f.valor_contrato) AS DECIMAL(18,2)) AS valor, count(DISTINCT o.codigo) AS orgaos FROM {fc} f JOIN {og} o ON f.sk_orgao = o.sk_orgao",
     # Q-11, JN-12, AG-31
     "q11_bodies_anomalous": "SELECT a.nome, a.contratos, coalesce(b.anomalos, 0) AS anomalos, round(100.0 * coalesce(b.anomalos, 0) / CAST(a.contratos AS DOUBLE), 3) AS pct FROM (SELECT o.nome, count(*) AS contratos FROM {fc} f JOIN {og} o ON f.sk_orgao = o.sk_orgao GROUP BY o.nome) a LEFT JOIN (SELECT o.nome, count(*) AS anomalos FROM {fc} f JOIN {og} o ON f.sk_orgao = o.sk_orgao JOIN {sc} s ON s.id_contrato_origem = f.id_contrato_origem AND s.ano = f.ano WHERE s.score_anomalia >= 0.7 GROUP BY o.nome) b ON a.nome = b.nome",
     # Q-12, AG-02, AG-07
     "q12_yearly_share": "SELECT f.ano, count(*) AS contratos, CAST(sum(CASE WHEN s.score_anomalia >= 0.7 THEN 1 ELSE 0 END) AS BIGINT) AS anomalos, count(*) FILTER (WHERE s.score_anomalia IS NULL) AS sem_score, round(100.0 * CAST(sum(CASE WHEN s.score_anomalia >= 0.7 THEN 1 ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE), 3) AS pct FROM {fc} f LEFT JOIN {sc} s ON s.id_contrato_origem = f.id_contrato_origem AND s.ano = f.ano GROUP BY f.ano",
-    # Q-13
-    "q13_risk_totals": "SELECT count(*) AS contratos, CAST(sum(f.valor_contrato) AS DECIMAL(18,2)) AS valor, count(DISTINCT f.sk_orgao) AS orgaos, round(avg(s.score_anomalia), 6) AS score_medio FROM {fc} f JOIN {sc} s ON s.id_contrato_origem = f.id_contrato_origem AND s.ano = f.ano WHERE (CASE WHEN s.score_anomalia < 0.70 THEN 'Baixo' WHEN s.score_anomalia <= 0.85 THEN 'Médio' ELSE 'Alto' END) IN ('Médio', 'Alto') AND s.score_anomalia IS NOT NULL",
     # Q-14
     "q14_forecast_universe": "SELECT ano_previsto, count(DISTINCT codigo_orgao) AS orgaos FROM {pv} GROUP BY ano_previsto",
     # Q-15, AG-04, JN-07
     "q15_paid_by_quarter": "SELECT t.trimestre, CAST(sum(f.valor) AS DECIMAL(18,2)) AS pago FROM {fo} f JOIN {te} t ON f.sk_tempo = t.sk_tempo WHERE t.ano = 2024 AND NOT f.flag_cancelada GROUP BY t.trimestre",
     # Q-16, AG-05
     "q16_forecast_by_quarter": "SELECT ano_previsto, trimestre_previsto, round(sum(valor_previsto_p10), 2) AS p10, round(sum(valor_previsto_p50), 2) AS p50, round(sum(valor_previsto_p90), 2) AS p90, count(DISTINCT codigo_orgao) AS orgaos, round(CAST(count(DISTINCT codigo_orgao) AS DOUBLE) / (SELECT CAST(count(DISTINCT codigo_orgao) AS DOUBLE) FROM {pv}), 6) AS cobertura FROM {pv} WHERE NOT is_backtest GROUP BY ano_previsto, trimestre_previsto",
-    # Q-17, AG-30, JN-16
-    "q17_forecast_error": "SELECT round(avg(abs(r.pago - p.p50) / r.pago * 100), 4) AS mape, count(*) AS trimestres FROM (SELECT t.ano, t.trimestre, CAST(sum(f.valor) AS DOUBLE) AS pago FROM {fo} f JOIN {te} t ON f.sk_tempo = t.sk_tempo WHERE NOT f.flag_cancelada GROUP BY t.ano, t.trimestre) r FULL OUTER JOIN (SELECT ano_previsto, trimestre_previsto, sum(valor_previsto_p50) AS p50, count(DISTINCT codigo_orgao) AS n FROM {pv} WHERE is_backtest GROUP BY ano_previsto, trimestre_previsto) p ON r.ano = p.ano_previsto AND r.trimestre = p.trimestre_previsto WHERE r.pago > 0 AND p.n >= 0.1 * (SELECT count(DISTINCT codigo_orgao) FROM {pv})",
     # Q-18
     "q18_history": "SELECT t.ano, t.trimestre, concat(CAST(t.ano AS STRING), '-T', CAST(t.trimestre AS STRING)) AS rotulo, CAST(sum(f.valor) AS DECIMAL(18,2)) AS pago FROM {fo} f JOIN {te} t ON f.sk_tempo = t.sk_tempo WHERE NOT f.flag_cancelada GROUP BY t.ano, t.trimestre",
     # Q-19, SL-01, WN-09
     "q19_forecast_top": "SELECT codigo_orgao, ano_previsto, trimestre_previsto, round(valor_previsto_p50, 2) AS p50, round(greatest(valor_previsto_p50 - valor_previsto_p10, 0), 2) AS erro_menos, round(greatest(valor_previsto_p90 - valor_previsto_p50, 0), 2) AS erro_mais FROM {pv} WHERE NOT is_backtest AND valor_previsto_p50 IS NOT NULL ORDER BY valor_previsto_p50 DESC, codigo_orgao, ano_previsto, trimestre_previsto LIMIT 5",
-    # Q-20, JN-14, SL-01
-    "q20_report_contracts": "SELECT s.id_contrato_origem, s.ano, round(s.score_anomalia, 6) AS score, f.valor_contrato, o.nome AS orgao, c.nome AS credor FROM {sc} s JOIN {fc} f ON s.id_contrato_origem = f.id_contrato_origem AND s.ano = f.ano LEFT JOIN {og} o ON f.sk_orgao = o.sk_orgao LEFT JOIN {cr} c ON f.sk_credor = c.sk_credor WHERE s.score_anomalia IS NOT NULL ORDER BY s.score_anomalia DESC, s.id_contrato_origem, s.ano LIMIT 15",
     "q20_preview_counts": "SELECT count(*) AS anomalias, CAST(sum(f.valor_contrato) AS DECIMAL(18,2)) AS valor FROM {fc} f JOIN {sc} s ON s.id_contrato_origem = f.id_contrato_origem AND s.ano = f.ano WHERE s.score_anomalia >= 0.9",
     # Q-21, AG-01, ST-02
     "q21_volumes": "SELECT 'contratos' AS tabela, count(*) AS linhas FROM {fc} UNION ALL SELECT 'ordens', count(*) FROM {fo} UNION ALL SELECT 'empenhos', count(*) FROM {fe} UNION ALL SELECT 'credores', count(*) FROM {cr} UNION ALL SELECT 'orgaos', count(*) FROM {og}",
@@ -105,8 +95,6 @@ BODIES: dict[str, str] = {
     "prj09_overpaid": "SELECT ano, count(*) AS contratos, count(*) FILTER (WHERE (valor_pago > 2 * valor_contrato OR valor_empenhado > 2 * valor_contrato) AND NOT coalesce(abs(CAST(valor_pago AS DOUBLE) - CAST(valor_contrato + valor_aditivo AS DOUBLE)) <= 0.01 * CAST(valor_contrato + valor_aditivo AS DOUBLE), false)) AS acima FROM {fc} GROUP BY ano",
     # PRJ-10
     "prj10_bin": "SELECT id_contrato_origem, ano FROM {sc} WHERE score_anomalia >= 0.55 AND score_anomalia < 0.60",
-    # AG-16
-    "ag16_repeated_keys": "SELECT id_contrato_origem, ano, count(*) AS n FROM {sc} GROUP BY id_contrato_origem, ano HAVING count(*) > 1",
     # AG-12
     "ag12_thresholds": "SELECT count(*) AS n, count(*) FILTER (WHERE score_anomalia >= 0.70) AS a70, count(*) FILTER (WHERE score_anomalia >= 0.80) AS a80, count(*) FILTER (WHERE score_anomalia >= 0.90) AS a90, count(*) FILTER (WHERE score_anomalia >= 0.95) AS a95, round(CAST(count(*) FILTER (WHERE score_anomalia >= 0.70) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS parte70 FROM {sc}",
     # AG-28
@@ -117,13 +105,8 @@ BODIES: dict[str, str] = {
     "st01_days": "SELECT CAST(data AS STRING) AS data, CAST(year(data) AS INT) AS ano, CAST(quarter(data) AS INT) AS trimestre, CAST(month(data) AS INT) AS mes FROM (SELECT data FROM {fe} UNION SELECT t.data FROM {fc} f JOIN {te} t ON f.sk_tempo = t.sk_tempo UNION SELECT t.data FROM {fo} f JOIN {te} t ON f.sk_tempo = t.sk_tempo) d WHERE data IS NOT NULL",
     # ST-03
     "st03_padded": "SELECT 'contrato' AS tipo, ano, CAST(sum(valor_contrato) AS DECIMAL(18,2)) AS valor, CAST(NULL AS BIGINT) AS canceladas FROM {fc} GROUP BY ano UNION ALL SELECT 'ordem', ano, CAST(sum(valor) AS DECIMAL(18,2)), count(*) FILTER (WHERE flag_cancelada) FROM {fo} GROUP BY ano",
-    # ST-05
-    "st05_concat": "SELECT is_backtest, count(*) AS n FROM (SELECT is_backtest FROM {pv} WHERE is_backtest UNION ALL SELECT is_backtest FROM {pv} WHERE NOT is_backtest) x GROUP BY is_backtest",
-    # WN-10: the last closed quarters
-    "wn10_last_quarters": "SELECT ano, trimestre FROM (SELECT ano, trimestre, dense_rank() OVER (ORDER BY ano DESC, trimestre DESC) AS r FROM (SELECT DISTINCT t.ano, t.trimestre FROM {fo} f JOIN {te} t ON f.sk_tempo = t.sk_tempo WHERE NOT f.flag_cancelada) q) x WHERE r BETWEEN 2 AND 5",
     # AG-20, AG-21, AG-22
     "ag20_forecast_quality": "SELECT round(avg(abs(r.pago - p.valor_previsto_p50)), 2) AS mae, round(avg(CASE WHEN r.pago BETWEEN p.valor_previsto_p10 AND p.valor_previsto_p90 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS cobertura, round(avg(greatest(r.pago - p.valor_previsto_p50, 0) * 0.5 + greatest(p.valor_previsto_p50 - r.pago, 0) * 0.5), 2) AS pinball50, count(*) AS n FROM (SELECT o.codigo, t.ano, t.trimestre, CAST(sum(f.valor) AS DOUBLE) AS pago FROM {fo} f JOIN {te} t ON f.sk_tempo = t.sk_tempo JOIN {og} o ON f.sk_orgao = o.sk_orgao WHERE NOT f.flag_cancelada GROUP BY o.codigo, t.ano, t.trimestre) r JOIN {pv} p ON p.codigo_orgao = r.codigo AND p.ano_previsto = r.ano AND p.trimestre_previsto = r.trimestre WHERE p.is_backtest AND p.valor_previsto_p10 IS NOT NULL AND p.valor_previsto_p50 IS NOT NULL AND p.valor_previsto_p90 IS NOT NULL",
-    "ag22_coverage_spread": "SELECT round(stddev_samp(c), 6) AS desvio FROM (SELECT ano_previsto, trimestre_previsto, avg(CASE WHEN valor_previsto_p90 - valor_previsto_p10 <= valor_previsto_p50 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS c FROM {pv} WHERE valor_previsto_p10 IS NOT NULL AND valor_previsto_p50 IS NOT NULL AND valor_previsto_p90 IS NOT NULL GROUP BY ano_previsto, trimestre_previsto) x",
     # SL-06, SL-07
     "sl06_best_quarter": "SELECT ano_previsto, trimestre_previsto, n FROM (SELECT ano_previsto, trimestre_previsto, count(DISTINCT codigo_orgao) AS n FROM {pv} WHERE NOT is_backtest GROUP BY ano_previsto, trimestre_previsto) x ORDER BY n DESC, ano_previsto DESC, trimestre_previsto DESC LIMIT 1",
     # WN-11

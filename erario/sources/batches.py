@@ -46,14 +46,18 @@ def read_batch(spark: SparkSession, root: str, source: str, run_date: str, schem
     """Rows of one extraction date, JSON arrays or lines; None where there is no directory or no row.
 
     Without a schema types are inferred from this batch alone; a directory that holds only empty arrays has no row.
-    Both layouts may be mixed, as directories are passed one by one.
+    Files that ``write_batch`` made hold a record a line, others one array or record each; both may be mixed.
     """
-    dirs = batch_dirs(spark, root, source, run_date)
-    if not dirs:
-        return None
-    reader = spark.read.option("multiLine", True)
-    df = (reader.schema(schema) if schema else reader).json(dirs)
-    return None if not df.columns or df.isEmpty() else df
+    files = [f for x in batch_dirs(spark, root, source, run_date) for f in batch_files(spark, x)]
+    out: DataFrame | None = None
+    for lines in (True, False):
+        some = [f for f in files if f.rsplit("/", 1)[-1].startswith("part-") == lines]
+        if some:
+            reader = spark.read.option("multiLine", not lines)
+            df = (reader.schema(schema) if schema else reader).json(some)
+            if df.columns:
+                out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return None if out is None or out.isEmpty() else out
 
 
 def sample_batches(spark: SparkSession, files: Sequence[str], limit: int = 8) -> DataFrame:

@@ -68,6 +68,9 @@ def test_batches_round_trip(spark, tmp_path):
     batches.write_batch(df, root, "empenhos", "2026-07-15", F.col("dataemissao"))
     assert len(batches.batch_dirs(spark, root, "empenhos", "2026-07-15")) == 3  # two months and one flat
     assert batches.read_batch(spark, root, "empenhos", "2026-07-15").count() == 4
+    many = spark.range(50).select("id", F.lit("2022-03-01").alias("dia")).coalesce(1)  # many records in one file
+    batches.write_batch(many, root, "muitos", "2026-07-15", F.col("dia"))
+    assert batches.read_batch(spark, root, "muitos", "2026-07-15").count() == 50
     assert batches.read_batch(spark, root, "empenhos", "2026-07-16") is None
     assert batches.extract_summary(df, "dataemissao") == {"registros": 4, "data_maxima": "2022-02-05"}
     batches.write_batch(df.limit(0), root, "contratos", "2026-07-15", None)
