@@ -212,6 +212,6 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str) -> D
 
 
 def pinball(actual: Column, predicted: Column, quantile: float) -> Column:
-    """Pinball loss of one prediction."""
+    """Pinball loss of one prediction; null where either is null."""
     d = actual - predicted
-    return F.greatest(d, F.lit(0.0)) * quantile + F.greatest(-d, F.lit(0.0)) * (1 - quantile)
+    return F.when(d >= 0, d * quantile).when(d < 0, -d * (1 - quantile))

@@ -160,7 +160,7 @@ _JUDGED = """, r AS (SELECT og.codigo, te.ano AS a, te.trimestre AS t, sum(fo.va
 
 
 # AG-22: spread of the interval's coverage over the quarters
-@query(_JUDGED + "SELECT round(stddev_samp(c), 6) AS desvio, count(*) AS trimestres FROM (SELECT avg(CASE WHEN pago >= valor_previsto_p10 AND pago <= valor_previsto_p90 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS c FROM j GROUP BY ano_previsto, trimestre_previsto)", "fo", "te", "og", "pv")
+@query(_JUDGED + "SELECT round(stddev_samp(c), 6) AS desvio, count(*) AS trimestres FROM (SELECT avg(CASE WHEN pago IS NULL THEN NULL WHEN pago >= valor_previsto_p10 AND pago <= valor_previsto_p90 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS c FROM j GROUP BY ano_previsto, trimestre_previsto)", "fo", "te", "og", "pv")
 def ag22_coverage_spread(spark: SparkSession, d: str) -> DataFrame:
     inside = F.col("pago").between(F.col("valor_previsto_p10"), F.col("valor_previsto_p90")).cast("double")
     folds = _judged(spark, d).groupBy("ano_previsto", "trimestre_previsto").agg(F.avg(inside).alias("c"))

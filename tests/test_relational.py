@@ -190,3 +190,8 @@ def test_dedup_reads_wanted_columns_only(spark, tmp_path):
     assert one.columns == ["k", "v"] and one.first()["v"] == "b"
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "w:string" not in plan and "z:string" not in plan
+
+
+def test_pinball_of_unknown_values_is_unknown(spark):
+    df = spark.createDataFrame([(10.0, 8.0), (8.0, 10.0), (None, 8.0), (8.0, None)], "y double, p double")
+    assert [r["l"] for r in df.select(F.round(rel.pinball(F.col("y"), F.col("p"), 0.9), 6).alias("l")).collect()] == [1.8, 0.2, None, None]
