@@ -58,11 +58,13 @@ class Segment:
     ordered by WIDE bytes, words by NARROW ones.
     """
 
-    FIELDS = {"text": "u1", "start": "i4", "suffix": "i4", "owner": "i4", "ordem": "i8", "linha": "i8", "valor": "f8", "place": "i8"}
+    FIELDS = {"text": "u1", "start": "i4", "suffix": "i4", "ordem": "i8", "linha": "i8", "valor": "f8", "place": "i8"}
     SCHEMA = "shard int, " + ", ".join(f"{f} binary" for f in FIELDS)
 
     def __init__(self, **arrays: np.ndarray):
         self.__dict__.update(arrays)
+        if "owner" not in arrays:
+            self.owner = (np.searchsorted(self.start, self.suffix, "right") - 1).astype("i4")
         self.whole = self.text.tobytes()
         self.ends = np.append(self.start[1:], len(self.text))
         self.records = len(self.start)
@@ -101,7 +103,7 @@ class Segment:
         word, of_word = np.concatenate([body[worded], blank[inner]]), np.concatenate([n[worded], of_blank[inner]])
         out = cls(text=text, start=start, suffix=start, owner=n, ordem=np.asarray(ordem, "i8"), linha=np.asarray(linha, "i8"), valor=np.asarray(valor, "f8"), place=np.asarray(place, "i8"))
         a, b = np.argsort(out.heads, kind="stable"), np.argsort(out.slices(word, of_word, NARROW), kind="stable")
-        return cls(**{f: getattr(out, f) for f in cls.FIELDS} | {"suffix": np.concatenate([start[a], word[b]]).astype("i4"), "owner": np.concatenate([n[a], of_word[b]]).astype("i4")})
+        return cls(**{f: getattr(out, f) for f in cls.FIELDS} | {"suffix": np.concatenate([start[a], word[b]]).astype("i4")}, owner=np.concatenate([n[a], of_word[b]]).astype("i4"))
 
     @classmethod
     def read(cls, row) -> Segment:
@@ -406,6 +408,10 @@ class History:
     def _read(self, s: dict) -> DataFrame:
         return self.spark.read.schema(Segment.SCHEMA).parquet(f"{self.path}/{s['name']}/shards")
 
+    def _bases(self, s: dict) -> DataFrame:
+        """(base, n): the leading fields and blocks of a segment, as hashes, and how many of its texts have them."""
+        return self.spark.read.schema("base bigint, n bigint").parquet(f"{self.path}/{s['name']}/bases")
+
     def _hot(self, s: dict) -> DataFrame | None:
         return self.spark.read.schema("base bigint, pieces int").parquet(f"{self.path}/{s['name']}/hot") if s["hot"] else None
 
@@ -427,6 +433,7 @@ class History:
             step = min(a["shards"], b["shards"], new["shards"])
             both = self._read(a).unionByName(self._read(b)).withColumn("__g", F.pmod("shard", F.lit(step)))
             both.groupBy("__g").applyInPandas(_merge(new["shards"], step), Segment.SCHEMA).write.parquet(f"{self.path}/{new['name']}/shards")
+            self._bases(a).unionByName(self._bases(b)).groupBy("base").agg(F.sum("n").alias("n")).write.parquet(f"{self.path}/{new['name']}/bases")
             if new["hot"]:
                 hot = [h for h in (self._hot(a), self._hot(b)) if h is not None]
                 (hot[0] if len(hot) == 1 else hot[0].unionByName(hot[1])).groupBy("base").agg(F.max("pieces").alias("pieces")).write.parquet(f"{self.path}/{new['name']}/hot")
@@ -457,24 +464,32 @@ class History:
         if not n:
             return none
         new = {"name": f"s-{uuid.uuid4().hex}", "rows": n, "shards": self._shards(n), "hot": False}
+        e.groupBy("base").agg(F.count("*").alias("n")).write.parquet(f"{self.path}/{new['name']}/bases")
         half = max(1, self.shard_rows // 2)
         if n > half:
-            # at most 2 n / shard_rows of them
-            many = e.groupBy("base").agg(F.count("*").alias("n")).filter(F.col("n") > half).select("base", F.ceil(F.col("n") / half).cast("int").alias("pieces"))
-            many.write.parquet(f"{self.path}/{new['name']}/hot")
-            new["hot"] = not self._hot(new | {"hot": True}).isEmpty()
+            many = self._bases(new).filter(F.col("n") > half)  # at most 2 n / shard_rows of them
+            new["hot"] = not many.isEmpty()
+            if new["hot"]:
+                many.select("base", F.ceil(F.col("n") / half).cast("int").alias("pieces")).write.parquet(f"{self.path}/{new['name']}/hot")
         stored = self._placed(e, new, self._hot(new), every=False)
         stored.withColumn("shard", F.pmod("place", F.lit(new["shards"])).cast("int")).groupBy("shard").applyInPandas(_build, Segment.SCHEMA).write.parquet(f"{self.path}/{new['name']}/shards")
         segs = [*self.segments(), new]
         # a value at the edge of a block is sought in the next one too
         near = F.array_distinct(F.transform(F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)]), lambda i: F.shiftright(F.col("centavos") + i, BLOCK_BITS)))
         blocks = F.when(F.col("cabeca").startswith("="), near).otherwise(F.array(block))
-        asked = e.drop("base", "n").withColumn("__b", F.explode(blocks)).withColumn("base", F.xxhash64("cabeca", "__b")).drop("__b")
+        asked = e.drop("base", "n").withColumn("__b", F.explode(blocks)).withColumn("__mine", F.col("__b") == block).withColumn("base", F.xxhash64("cabeca", "__b")).drop("__b")
+        # a text whose leading fields stand nowhere else can't be a repetition; the others are sought
+        known = None
+        for s in segs:
+            known = self._bases(s) if known is None else known.unionByName(self._bases(s))
+        known = known.groupBy("base").agg(F.sum("n").alias("__n"))
+        asked = written(asked.join(known, "base").filter(F.col("__n") > F.col("__mine").cast("int")).drop("__n", "__mine"), "increment-asked")
         left = right = None
         for i, s in enumerate(segs):
             q = self._placed(asked, s, self._hot(s), every=True).select(F.lit(i).alias("segment"), F.pmod("place", F.lit(s["shards"])).cast("int").alias("shard"), "cabeca", "centavos", "palavras", "ordem", "linha_id", "valor")
             b = self._read(s).withColumn("segment", F.lit(i))
             left, right = (q, b) if left is None else (left.unionByName(q), right.unionByName(b))
+        right = right.join(F.broadcast(left.select("segment", "shard").distinct()), ["segment", "shard"])  # shards that are asked; a row for each shard at most
         hits = left.groupBy("segment", "shard").cogroup(right.groupBy("segment", "shard")).applyInPandas(_search, "cabeca string, centavos bigint, palavras string")
         seen = written(hits, "increment-hits").distinct().withColumn("visto", F.lit(True))
         on = ["cabeca", "centavos", "palavras"]
