@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from erario.functions.keys import stripped
 from erario.operators.compaction import swap_into_place
 from erario.operators.ranges import matching_groups
+from erario.operators.relational import lookup
 from erario.session import drop_on_exit, shared_dir, written
 
 #: Texts that a shard holds on average, and batches that ``repeated`` cuts a whole history into (runs of whole loads).
@@ -264,9 +265,7 @@ def prepared(rows: DataFrame, loads: DataFrame) -> DataFrame:
     """
     rows = rows.select("linha_id", "carga_id", "id", "ano", "dataemissao", "codigoug", "codigocredor", "codprocesso", "valor", "historico")
     days = loads.filter("carga_id is not null").groupBy("carga_id").agg(F.min(day_of(F.col("data_extracao"))).alias("__dia"))
-    sizes = rows.groupBy("carga_id").agg(F.count("*").alias("__n")).join(days, "carga_id", "left")
-    with_day = matching_groups(rows.filter("carga_id is not null"), sizes.filter("carga_id is not null"), ["carga_id"], "__n")
-    with_day = with_day.unionByName(rows.filter("carga_id is null"), allowMissingColumns=True)
+    with_day = lookup(rows, days, ["carga_id"])
     # in steps, so that what is used more than once is made once
     first = with_day.select(
         "linha_id", "ano", "historico", stripped(F.col("id")).alias("__id"), *[stripped(F.col(c)).alias(f"__k{i}") for i, c in enumerate(("codigoug", "codigocredor", "codprocesso"))],
