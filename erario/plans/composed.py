@@ -389,7 +389,7 @@ def op_iforest(spark: SparkSession, d: str) -> DataFrame:
     return anomaly.scored(f, cols, forest, 0.05).select("id_contrato_origem", "ano", "score_anomalia", "flag_anomalia")
 
 
-# OP-QREG, OP-FCST (rows only)
+# OP-QREG, OP-FCST with the first candidate's settings (rows only; op_tune compares all candidates)
 @query()
 def op_forecast(spark: SparkSession, d: str) -> DataFrame:
     from erario.ml import forecast
@@ -397,15 +397,18 @@ def op_forecast(spark: SparkSession, d: str) -> DataFrame:
     return forecast.forecasts(spark, op_panel(spark, d), forecast.GRID[0])
 
 
-# OP-GATES, OP-TUNE as metrics (rows only)
+# OP-GATES as metrics of both models (rows only)
 @query()
 def op_gates(spark: SparkSession, d: str) -> DataFrame:
-    from erario.ml import forecast
+    from erario.ml import anomaly, forecast
 
     p = op_panel(spark, d)
     q = forecast.quality(forecast.forecasts(spark, p, forecast.GRID[0]))
     lag4 = p.agg(F.avg(F.col("lag_4").isNotNull().cast("int")).alias("x")).first()["x"] or 0.0
-    return forecast.run_metrics(spark, "backtest", q | {"lag4": lag4, "alertas": len(forecast.alerts(q, lag4))})
+    scores = anomaly.summary(op_iforest(spark, d))
+    before = gold.scores(spark, d, {"score_anomalia"}).agg(F.avg("score_anomalia").alias("m")).first()["m"]  # the run before
+    said = [*forecast.alerts(q, lag4), *anomaly.alerts(scores, before)]
+    return forecast.run_metrics(spark, "backtest", q | {"lag4": lag4, "alertas": len(said), "score_medio": scores["media"], "score_anterior": before or 0.0, "score_p50": scores["p50"], "score_p99": scores["p99"]})
 
 
 # FN-10
