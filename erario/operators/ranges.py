@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, TaskContext
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,10 +60,9 @@ def running(df: DataFrame, key: str, order: Sequence[str], value: str, ranges: i
     """
     df = df.drop("row_in_key", "total_in_key")
     schema = T.StructType([*df.schema.fields, T.StructField("__range", T.IntegerType()), T.StructField("row_in_key", T.LongType()), T.StructField("total_in_key", T.DoubleType())])
-    cut = into_ranges(df, [key], order, ranges)
+    cut = into_ranges(df, [key], order, ranges).withColumn("__range", F.spark_partition_id())
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        here = TaskContext.get().partitionId()
         last, n0, t0 = object(), 0, 0.0
         for pdf in batches:
             if not len(pdf):
@@ -82,7 +81,7 @@ def running(df: DataFrame, key: str, order: Sequence[str], value: str, ranges: i
             rows[first] += n0
             totals[first] += t0
             last, n0, t0 = k.iloc[-1], int(rows.iloc[-1]), float(totals.iloc[-1])
-            yield pdf.assign(__range=np.int32(here), row_in_key=rows.astype("int64"), total_in_key=totals)
+            yield pdf.assign(row_in_key=rows.astype("int64"), total_in_key=totals)
 
     # written, as a second computation would sample other cuts
     local = written(cut.mapInPandas(places, schema), "running")
@@ -111,7 +110,8 @@ def last_before(df: DataFrame, levels: Sequence[str], order: Sequence[str], carr
     df = df.select(*[F.coalesce(F.col(c), F.lit(_NONE)).alias(c) if c in carried else F.col(c) for c in df.columns])
     n = ranges or shuffle_width(df.sparkSession)
     # kept, as it is read twice and a second computation would sample other cuts; lost blocks get the same cuts again
-    cut = df.repartitionByRange(n, *levels, *order).sortWithinPartitions(*levels, *order).persist(StorageLevel.MEMORY_AND_DISK)
+    # each row carries its range: the number of a task says nothing of it where this is one side of a union
+    cut = df.repartitionByRange(n, *levels, *order).sortWithinPartitions(*levels, *order).withColumn("__range", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
     depth = {c: d for c, (d, _) in carried.items()}
     how = {c: h for c, (_, h) in carried.items()}
     used = max(depth.values())
@@ -160,16 +160,17 @@ def last_before(df: DataFrame, levels: Sequence[str], order: Sequence[str], carr
 
     def states(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """One row a range: its first and last levels and the state at its end."""
-        here, head, tail, carry = TaskContext.get().partitionId(), None, None, {}
+        here, head, tail, carry = 0, None, None, {}
         for pdf in batches:
             if len(pdf):
+                here = int(pdf["__range"].iloc[0])
                 head = head or tuple(pdf[k].iloc[0] for k in lv)
                 tail = tuple(pdf[k].iloc[-1] for k in lv)
                 _, carry = filled(pdf, carry)
         if head is not None:
             yield pd.DataFrame([[here, *head, *tail, *[_NONE if carry[c][1] is None else carry[c][1] for c in names]]], columns=[f.name for f in state_schema.fields])
 
-    need = cut.select(*lv, *names)
+    need = cut.select(*lv, *names, "__range")
     ends = sorted(need.mapInPandas(states, state_schema).collect(), key=lambda r: r["__range"])  # one row a range
     carry: dict[str, tuple[tuple, int | None]] = {}
     ahead: dict[int, dict[str, tuple[tuple, int | None]]] = {}
@@ -184,11 +185,12 @@ def last_before(df: DataFrame, levels: Sequence[str], order: Sequence[str], carr
             carry[c] = (tail[:d], x)
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state = ahead.get(TaskContext.get().partitionId(), {})
+        state = None
         for pdf in batches:
             if len(pdf):
+                state = ahead.get(int(pdf["__range"].iloc[0]), {}) if state is None else state
                 got, state = filled(pdf, state)
-                yield pdf.assign(**got)
+                yield pdf.drop(columns="__range").assign(**got)
 
     walked = cut.mapInPandas(fill, df.schema)
     return walked.select(*[F.nullif(F.col(c), F.lit(_NONE)).alias(c) if c in carried else F.col(c) for c in df.columns])

@@ -80,9 +80,14 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def drop_on_exit(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate when the driver ends in order; until then every executor can read it."""
+    """Delete a folder of intermediates when the driver ends in order; until then every executor can read it.
+
+    The folder is made where it isn't there yet, as the file system only remembers paths that exist.
+    """
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
 
 
 def shuffle_width(spark: SparkSession, least: int = 1) -> int:

@@ -72,3 +72,18 @@ def test_matching_groups_keeps_every_pair_of_a_hot_key(spark):
     left = spark.createDataFrame([("hot", i) for i in range(500)] + [("x", 1)], "k string, i int")
     sizes = left.groupBy("k").agg(F.count("*").alias("n"), F.lit(7).alias("v"))
     assert matching_groups(left, sizes, ["k"], "n", 0.5).count() == 501
+
+
+def test_states_hold_on_both_sides_of_a_union(spark):
+    df = spark.range(4000).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("x"))
+    want = {}
+    last = {}
+    for r in sorted(df.collect(), key=lambda r: (r["k"], r["o"])):
+        last[r["k"]] = r["x"] if r["x"] is not None else last.get(r["k"])
+        want[r["o"]] = last[r["k"]]
+    w = last_before(df, ["k"], ["o"], {"x": (1, "last")}, ranges=7)
+    got = spark.range(500).select(F.lit(-1).cast("bigint").alias("k"), F.col("id").alias("o"), F.lit(None).cast("bigint").alias("x")).unionByName(w).filter("k >= 0").collect()
+    assert {r["o"]: r["x"] for r in got} == want
+    t = running(df.withColumn("v", F.lit(1)), "k", ["o"], "v", ranges=7)
+    both = spark.range(10).select(F.lit(0).cast("bigint").alias("row_in_key"), F.lit(0.0).alias("total_in_key")).unionByName(t.select("row_in_key", "total_in_key")).filter("row_in_key > 0").collect()
+    assert all(r["row_in_key"] == r["total_in_key"] for r in both) and len(both) == 4000
