@@ -2,8 +2,8 @@
 
 1. Names become vectors of character n-grams, weighted by the square of their inverse document frequency so that what few
    names share counts most. Short forms of given names are learnt from the names themselves and written out in the vectors.
-2. A distributed sparse join finds all pairs that reach a cosine: n-grams of exact prefixes propose candidates, whole
-   vectors give the cosine. ``nearest`` keeps the top n of each name where that is wanted.
+2. A distributed sparse join finds all pairs that reach a cosine: names meet at the n-grams of exact prefixes, where
+   whole vectors give the cosine at once. ``nearest`` keeps the top n of each name where that is wanted.
 3. Pairs above the threshold are compared part by part, as relatives and sister companies are as near by n-grams as
    variants are; those that don't fit count as cosine 0.
 4. Average linkage over the cosines groups the names, in rounds that merge clusters which are each other's nearest.
@@ -15,7 +15,10 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +39,8 @@ FREQUENT = 0.0004
 WHOLE = 0.25
 #: Bits of the hash by which the postings of a frequent n-gram are cut into blocks, and the postings in a block.
 BLOCK_ROWS = 2_000
+#: Meetings that are scored at a time.
+MEETINGS = 50_000
 
 #: Names that must have a word and another one in its place for it to be a short form, and the share of the names with either that must.
 SHORT_SEEN, SHORT_SHARE = 2, 0.7
@@ -236,55 +241,148 @@ def short_forms(forms: DataFrame, given: frozenset[str], n: int) -> dict[str, st
     return {r["h"]: r["full"] for r in sorted(rows, key=lambda r: (r["n"], r["full"]))}
 
 
-def _vectors(forms: DataFrame, short: dict[str, str] | None = None) -> DataFrame:
-    """(id, g, df, u, __rest): n-gram vectors of unit norm, and the squared norm of an n-gram and all lighter ones."""
-    n = forms.count()
+def _vectors(forms: DataFrame, n: int, short: dict[str, str] | None = None) -> DataFrame:
+    """(id, forma, gs, dfs, ws): the n-grams of each of the ``n`` forms, the number of their names and their weights, heaviest first."""
     g = forms.select("id", F.explode(_grams_udf(short)(F.col("forma"))).alias("g"))
     df = g.groupBy("g").agg(F.count("*").alias("df"))
-    idf = F.log(F.lit(n + SATURATED) / F.greatest(F.col("df"), F.lit(SATURATED)))
-    w = g.join(df, "g").select("id", "g", "df", (idf * idf * F.when(F.col("g") < F.lit(27 ** (GRAM - 1)), F.lit(WHOLE)).otherwise(F.lit(1.0))).alias("w"))
-    heavy = Window.partitionBy("id").orderBy(F.desc("w"), "g")
-    whole = Window.partitionBy("id")
-    ranked = w.withColumn("u", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(whole)))
-    return ranked.withColumn("__rest", 1 - F.coalesce(F.sum(F.col("u") * F.col("u")).over(heavy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    own = g.join(df, "g").groupBy("id").agg(F.collect_list(F.struct("g", "df")).alias("v"))
+    idf = lambda x: F.log(F.lit(n + SATURATED) / F.greatest(x["df"], F.lit(SATURATED)))
+    weight = lambda x: idf(x) * idf(x) * F.when(x["g"] < F.lit(27 ** (GRAM - 1)), F.lit(WHOLE)).otherwise(F.lit(1.0))
+    # Spark's logarithm is the same on all machines, so all vectors have one order
+    heavy = F.array_sort(F.transform("v", lambda x: F.struct((-weight(x)).alias("w"), x["g"].alias("g"), x["df"].alias("df"))))
+    v = own.select("id", heavy.alias("v")).join(forms.select("id", "forma"), "id")
+    return v.select("id", "forma", F.col("v.g").alias("gs"), F.col("v.df").alias("dfs"), F.transform("v.w", lambda x: -x).alias("ws"))
 
 
-def _met(p: DataFrame, *more: str) -> DataFrame:
-    """(a, b, ua, ub and ``more`` of both): a row for each n-gram that two ids a < b of the postings share.
+def _packed(gs: np.ndarray, dfs: np.ndarray) -> bytes:
+    """N-grams and the number of their names; bytes of like rank stand together, as they compress better so."""
+    return np.stack([gs, dfs], axis=1).astype("<i4").view("u1").T.tobytes()
 
-    Postings of a frequent n-gram are cut into blocks, and each block meets each other one in a task of its own, so no
-    n-gram is one task's load.
-    """
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("df") / BLOCK_ROWS)).cast("int")
-    rows = p.withColumn("__n", blocks).withColumn("__b", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    # block i as left side meets the blocks j as right side
-    left = rows.withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
-    right = rows.withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
-    x = left.select("g", F.col("__b").alias("i"), F.col("__j").alias("j"), F.col("id").alias("a"), *[F.col(c).alias(f"{c}a") for c in ("u", *more)])
-    y = right.select("g", F.col("__i").alias("i"), F.col("__b").alias("j"), F.col("id").alias("b"), *[F.col(c).alias(f"{c}b") for c in ("u", *more)])
-    return x.join(y, ["g", "i", "j"]).filter("a < b")
 
+def _unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(n-grams, numbers of their names, number of n-grams of each) of packed vectors."""
+    x = np.concatenate([np.frombuffer(b, "u1").reshape(8, -1) for b in packed], axis=1)
+    both = np.ascontiguousarray(x.T).view("<i4")
+    return both[:, 0], both[:, 1], np.fromiter((len(b) // 8 for b in packed), "i8", len(packed))
+
+
+def _postings(cosine: float):
+    """Rows (g, df, id, forma, r, norm, v) for the n-grams that can be the first one shared with a form as near as ``cosine``.
+
+    r: norm of that n-gram and the lighter ones, as a share of ``norm``; v: the packed n-grams that other forms have too.
+    """
 
-def similar_pairs(forms: DataFrame, cosine: float = COSINE, short: dict[str, str] | None = None) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gs, dfs, ws = (batch.column(c).flatten().to_numpy() for c in ("gs", "dfs", "ws"))
+            size = np.diff(batch.column("gs").offsets.to_numpy())
+            if not len(gs):
+                continue
+            end = np.cumsum(size)
+            row = np.repeat(np.arange(len(size)), size)
+            norm = np.sqrt(np.add.reduceat(ws * ws, end - size))
+            us = ws / norm[row]
+            done = np.cumsum(us * us)
+            r = np.sqrt(np.maximum(done[end - 1][row] - done + us * us, 0.0))
+            shared = dfs > 1
+            v = [_packed(gs[a:z][shared[a:z]], dfs[a:z][shared[a:z]]) for a, z in zip(end - size, end)]
+            at = np.flatnonzero(shared & (r >= cosine - 1e-9))
+            of = pa.array(row[at])
+            yield pa.RecordBatch.from_arrays([pa.array(gs[at]), pa.array(dfs[at]), batch.column("id").take(of), batch.column("forma").take(of), pa.array(r[at]), pa.array(norm[row[at]]), pa.array(v, pa.binary()).take(of)], ["g", "df", "id", "forma", "r", "norm", "v"])
+
+    return run
+
+
+def _meetings(n: int, cosine: float, words: Words | None):
+    """Rows (a, b, s) for postings of ``n`` forms that come in the order of their group (g, i, j) and from the greatest r."""
+
+    def met(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        g, i, j, own, r, ids = (t[c].to_numpy() for c in ("g", "i", "j", "own", "r", "id"))
+        first = np.r_[True, (g[1:] != g[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
+        group = 2.0 * np.cumsum(first)
+        # of those behind it, a posting meets the ones whose r is great enough
+        here = np.arange(len(g))
+        count = np.maximum(np.searchsorted(group - r, group - (cosine - 1e-9) / r, "right") - here - 1, 0)
+        total = np.cumsum(count)
+        if not total[-1]:
+            return
+        forms = t["forma"].to_pylist() if words else []
+        gs, dfs, size = _unpacked(t["v"].to_pylist())
+        start = np.cumsum(size) - size
+        us = np.log((n + SATURATED) / np.maximum(dfs, SATURATED)) ** 2 * np.where(gs < 27 ** (GRAM - 1), WHOLE, 1.0) / np.repeat(t["norm"].to_numpy(), size)
+        key = (np.repeat(here, size) << 32) | gs
+        order = np.argsort(key)
+        sorted_key, sorted_us = key[order], us[order]
+        begin = 0
+        while begin < len(g):
+            stop = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + MEETINGS, "right")))
+            c = count[begin:stop]
+            p = np.repeat(here[begin:stop], c)
+            q = p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(c) - c, c)
+            begin = stop
+            keep = (i[p] == j[p]) | (own[p] != own[q])
+            p, q = p[keep], q[keep]
+            if not len(p):
+                continue
+            # each n-gram of p is looked up among those of q
+            k = size[p]
+            pair = np.repeat(np.arange(len(p)), k)
+            at = np.repeat(start[p] - np.cumsum(k) + k, k) + np.arange(len(pair))
+            want = (q[pair] << 32) | gs[at]
+            found = np.minimum(np.searchsorted(sorted_key, want), len(sorted_key) - 1)
+            hit = np.flatnonzero(sorted_key[found] == want)
+            pair, at = pair[hit], at[hit]
+            s = np.bincount(pair, us[at] * sorted_us[found[hit]], len(p))
+            # a pair is told once, where its first common n-gram is
+            heads = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+            at_first = np.zeros(len(p), bool)
+            at_first[pair[heads]] = gs[at[heads]] == g[p[pair[heads]]]
+            ok = np.flatnonzero(at_first & (s >= cosine - 1e-9))
+            if words:
+                ok = np.array([x for x in ok if same(forms[p[x]], forms[q[x]], words)], "i8")
+            if len(ok):
+                x, y = ids[p[ok]], ids[q[ok]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(s[ok])], ["a", "b", "s"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []  # begins with a group, whose end may be still to come
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ends = [pc.not_equal(batch.column(c).slice(1), batch.column(c).slice(0, batch.num_rows - 1)).to_numpy(False) for c in ("g", "i", "j")]
+            cut = np.flatnonzero(ends[0] | ends[1] | ends[2])
+            at = int(cut[-1]) + 1 if len(cut) else 0
+            if at:
+                yield from met(pa.Table.from_batches([*rest, batch.slice(0, at)]))
+                rest = []
+            elif rest and any(rest[-1].column(c)[-1] != batch.column(c)[0] for c in ("g", "i", "j")):
+                yield from met(pa.Table.from_batches(rest))
+                rest = []
+            rest.append(batch.slice(at))
+        if rest:
+            yield from met(pa.Table.from_batches(rest))
+
+    return run
+
+
+def similar_pairs(forms: DataFrame, cosine: float = COSINE, short: dict[str, str] | None = None, words: Words | None = None) -> DataFrame:
     """(a, b, s): ids of all forms whose n-gram vectors reach the cosine s, a < b, each pair once.
 
-    forms: id, forma. Exact: all vectors have their n-grams in one order, heaviest first. Two forms share nothing ahead
-    of their first common n-gram, so their cosine is at most the product of the norms from there on; where this product
-    is below the cosine the n-gram can't be the first one that two such forms share, and their meeting there is dropped at
-    once (so n-grams of many names, which are light, make few meetings). What is shared after the last meeting kept is at
-    most the product of the norms behind it; candidates that can't reach the cosine so are dropped, the others are scored
-    over all n-grams.
+    forms: id, forma. words: only the pairs whose parts agree. Exact: all vectors have their n-grams in one order,
+    heaviest first. Two forms share nothing ahead of their first common n-gram, so their cosine is at most the product of
+    the norms from there on; where this product is below the cosine the n-gram can't be the first one that two such forms
+    share, and they don't meet there (so n-grams of many names, which are light, make few meetings). Postings hold the
+    whole vector of their form: what meets is scored at once, so only postings are shuffled, never the pairs that meet,
+    of which there are far more. Postings of a frequent n-gram are cut into blocks, and each two blocks meet apart from
+    the others, so no n-gram is one task's load.
     """
-    v = written(_vectors(forms, short), "name-vectors")
-    prefix = v.filter(F.col("__rest") >= cosine * cosine).select("id", "g", "df", "u", F.sqrt("__rest").alias("r"), F.sqrt(F.greatest(F.lit(0.0), F.col("__rest") - F.col("u") * F.col("u"))).alias("t"))
-    p = written(prefix, "name-postings")
-    met = _met(p, "r", "t").filter(F.col("ra") * F.col("rb") >= cosine - 1e-9)
-    shared = met.groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("s"), F.min(F.col("ta") * F.col("tb")).alias("more"))
-    near = shared.filter(F.col("s") + F.col("more") >= cosine - 1e-9).select("a", "b")
-    vectors = v.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("g", "u"))).alias("v"))
-    both = near.join(vectors.withColumnRenamed("id", "a").withColumnRenamed("v", "va"), "a").join(vectors.withColumnRenamed("id", "b").withColumnRenamed("v", "vb"), "b")
-    score = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda t, e: t + e["value"] * F.coalesce(F.element_at("vb", e["key"]), F.lit(0.0)))
-    return both.select("a", "b", score.alias("s")).filter(F.col("s") >= cosine - 1e-9)
+    n = forms.count()
+    p = _vectors(forms, n, short).mapInArrow(_postings(cosine), "g bigint, df bigint, id bigint, forma string, r double, norm double, v binary")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("df") / BLOCK_ROWS)).cast("int")
+    p = p.select("g", "id", *(["forma"] if words else []), "r", "norm", "v", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    p = p.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other")
+    p = p.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", F.desc("r"))
+    return p.mapInArrow(_meetings(n, cosine, words), "a bigint, b bigint, s double")
 
 
 def nearest(pairs: DataFrame, n: int) -> DataFrame:
@@ -370,8 +468,10 @@ def entities(creditors: DataFrame, top: int | None = None) -> DataFrame:
     names = written(current_names(creditors), "names")
     forms = written(names.select("forma").distinct().withColumn("id", F.xxhash64("forma")), "names")
     words = vocabulary(forms)
-    near = similar_pairs(forms, short=words.short)
-    links = agreeing(near if top is None else nearest(near, top), forms, words)
+    if top is None:
+        links = similar_pairs(forms, short=words.short, words=words)
+    else:
+        links = agreeing(nearest(similar_pairs(forms, short=words.short), top), forms, words)
     groups = average_linkage(links)
     own = forms.join(groups, "id", "left").select("forma", F.coalesce("grupo", "id").alias("entidade"))
     many = own.groupBy("entidade").agg(F.count("*").alias("formas"))
@@ -389,4 +489,4 @@ def pairs(creditors: DataFrame) -> DataFrame:
     rows = e.join(size, "entidade").withColumn("__b", F.pmod(F.xxhash64("cnpj_cpf"), F.col("__n")).cast("int"))
     x = rows.select("entidade", F.col("cnpj_cpf").alias("cnpj_cpf_a"), F.col("__b").alias("__i"), F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__j"))
     y = rows.select("entidade", F.col("cnpj_cpf").alias("cnpj_cpf_b"), F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__i"), F.col("__b").alias("__j"))
-    return x.join(y, ["entidade", "__i", "__j"]).filter("cnpj_cpf_a < cnpj_cpf_b").select("cnpj_cpf_a", "cnpj_cpf_b").distinct()
+    return x.join(y, ["entidade", "__i", "__j"]).filter("cnpj_cpf_a < cnpj_cpf_b").select("cnpj_cpf_a", "cnpj_cpf_b")

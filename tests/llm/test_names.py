@@ -134,3 +134,55 @@ def test_variant_that_shares_light_ngrams(spark):
     rows += [("3001", "Antônio Abacadabelago Bacadafegila Zuvuzazu", True), ("3002", "Toninho A. B. Zuvuzazu", True)]
     got = {tuple(r) for r in names.pairs(creditors(spark, rows)).collect()}
     assert ("3001", "3002") in got and len(got) == 4
+
+
+def shuffled(spark, make):
+    """Rows of the DataFrame that ``make`` gives, and the bytes shuffled for them."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+    before = store.executorList(False).apply(0).totalShuffleWrite()
+    rows = make().count()
+    bus.waitUntilEmpty()
+    return rows, store.executorList(False).apply(0).totalShuffleWrite() - before
+
+
+def families(spark, members):
+    """Forms of 10 families, each with a surname of its own."""
+    rng = __import__("random").Random(1)
+    fs = sorted({f"{''.join(rng.choice('bcdfgjlmnp') for _ in range(4))} {c * 3}cutro{c * 3}" for c in "qrstvwxyzh" for _ in range(members)})
+    return spark.createDataFrame(list(enumerate(fs)), "id bigint, forma string").coalesce(2)
+
+
+def test_pairs_that_meet_are_not_shuffled(spark):
+    # four times the names are sixteen times the pairs that meet
+    few, few_bytes = shuffled(spark, lambda: names.similar_pairs(families(spark, 60)))
+    many, many_bytes = shuffled(spark, lambda: names.similar_pairs(families(spark, 240)))
+    assert few > 10_000 and many > 12 * few
+    assert many_bytes < 6 * few_bytes
+
+
+def test_pairs_of_an_entity_are_not_shuffled(spark):
+    rows = [(f"{i:04d}", "Dragujage Tucofedri Serviços de Limpeza ME", True) for i in range(800)]
+    n, b = shuffled(spark, lambda: names.pairs(creditors(spark, rows)))
+    assert n == 800 * 799 // 2 and b < n
+
+
+def test_pairs_found_and_compared_at_once(spark, monkeypatch):
+    monkeypatch.setattr(names, "BLOCK_ROWS", 9)
+    monkeypatch.setattr(names, "MEETINGS", 50)
+    forms = spark.createDataFrame([(i, names.form(n)) for i, (_, n, _) in enumerate(people() + [(k, n.replace("lupi", "lpui"), c) for k, n, c in people()[:9]])], "id bigint, forma string")
+    want = names.agreeing(names.similar_pairs(forms, 0.1), forms, W).collect()
+    got = names.similar_pairs(forms, 0.1, words=W).collect()
+    assert sorted((r["a"], r["b"], round(r["s"], 9)) for r in got) == sorted((r["a"], r["b"], round(r["s"], 9)) for r in want) and len(got) >= 9
+
+
+def test_a_group_of_postings_over_many_batches(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        forms = families(spark, 7)
+        got = {(r["a"], r["b"]) for r in names.similar_pairs(forms).collect()}
+        fs = {r["id"]: r["forma"].split()[1] for r in forms.collect()}
+        assert got == {(a, b) for a, b in itertools.combinations(sorted(fs), 2) if fs[a] == fs[b]}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
